@@ -63,6 +63,17 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema
     return df.mapInArrow(run, schema)
 
 
+def arrow_filter(df: DataFrame, fn: Callable[[pa.RecordBatch], np.ndarray]) -> DataFrame:
+    """The rows of df, all columns, where fn(batch) is true: no join, so it doesn't matter what ids there are."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(fn(b), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or a folder of this session's own where that is unset."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("quillmere.shared.dir", None)

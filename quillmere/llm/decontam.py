@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmere.llm.common import arrow_map, keep, text_bytes
+from quillmere.llm.common import arrow_filter, arrow_map, keep, text_bytes
 from quillmere.llm.texthash import ALNUM, LOWER, U, Words, grams, words_of
 
 WINDOW, GRAM = 13, 7
@@ -137,6 +137,38 @@ def _index(key: str, held) -> Index:
     return Index(held.value)
 
 
+def held_blocks(benchmark: DataFrame, item_col: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES) -> list:
+    """The benchmark's blocks as broadcasts, each with a name of its own."""
+    sc = benchmark.sparkSession.sparkContext
+    return [(uuid.uuid4().hex, sc.broadcast(b)) for b in blocks(keep(benchmark, item_id=item_col, text=item_text), block_bytes)]
+
+
+def batch_hits(held: list, texts) -> tuple[list, list, list]:
+    """(words, spans, item ids) of each text of an Arrow column, over all blocks."""
+    data, offsets = text_bytes(texts)
+    n = [0] * (len(offsets) - 1)
+    spans, items = [[] for _ in n], [set() for _ in n]
+    for h in held or [None]:
+        index = _index(*h) if h is not None else Index([])
+        for d, (words, s, i) in enumerate(scan(index, data, offsets)):
+            n[d] = words
+            spans[d] += s
+            items[d].update(i)
+    return n, spans, items
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of docs, all columns, that contamination() does not find contaminated."""
+    held = held_blocks(benchmark, block_bytes=block_bytes)
+
+    def run(b: pa.RecordBatch) -> np.ndarray:
+        n, spans, _ = batch_hits(held, b.column(b.schema.get_field_index(text_col)))
+        hit = np.array([sum(e - a for a, e in union(s)) for s in spans], np.int64)
+        return ~((hit > 0) & (20 * hit >= np.array(n, np.int64)))
+
+    return arrow_filter(docs, run)
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, n_words, n_hit, spans array<struct<first,end>> (words), items array<string>, contaminated of each row of docs.
 
@@ -145,19 +177,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     hits nothing. Null ids stay; repeated rows give a row each; other columns are left out. A benchmark of
     several blocks is looked up block by block, and each row's hits are merged within its task.
     """
-    bench = keep(benchmark, item_id=item_col, text=item_text)
-    held = [(uuid.uuid4().hex, docs.sparkSession.sparkContext.broadcast(b)) for b in blocks(bench, block_bytes)]
+    held = held_blocks(benchmark, item_col, item_text, block_bytes)
 
     def run(b: pa.RecordBatch) -> dict:
-        data, offsets = text_bytes(b.column("text"))
-        n = [0] * b.num_rows
-        spans, items = [[] for _ in n], [set() for _ in n]
-        for h in held or [None]:
-            index = _index(*h) if h is not None else Index([])
-            for d, (words, s, i) in enumerate(scan(index, data, offsets)):
-                n[d] = words
-                spans[d] += s
-                items[d].update(i)
+        n, spans, items = batch_hits(held, b.column("text"))
         joined = [union(s) for s in spans]
         hit = [sum(e - a for a, e in s) for s in joined]
         return {

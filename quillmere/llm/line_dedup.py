@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmere.llm.common import arrow_map, dropped, keep, stored, text_list
+from quillmere.llm.common import arrow_map, keep, stored, text_list
 from quillmere.llm.texthash import U, mix
 
 MIN_KEY = 10
@@ -184,16 +184,9 @@ def filters(repeated: DataFrame) -> DataFrame:
     return repeated.select("h1").mapInArrow(run, "shard int, n long, filter binary")
 
 
-def dedup_lines(docs: DataFrame, least: int = MIN_KEY, id_col: str = "doc_id", text_col: str = "text", filter_bytes: int = FILTER_BYTES) -> DataFrame:
-    """doc_id, n_lines, n_dropped, kept (text) of each row of docs.
-
-    A line goes if its key has at least `least` code points, two or more documents hold it, and this
-    document isn't the smallest of them. Within its smallest document all its lines stay. Null or empty
-    text is one empty line. A row without an id keeps all its lines and counts for no other; rows of the same id are
-    one document; other columns are left out; an empty table gives none.
-    """
+def lines_to_drop(docs: DataFrame, least: int = MIN_KEY, filter_bytes: int = FILTER_BYTES) -> DataFrame:
+    """doc_id, drop (numbers of the lines that go, from 0) of the documents (doc_id, text) that lose a line."""
     spark = docs.sparkSession
-    docs = keep(docs, doc_id=id_col, text=text_col)
     rep = stored(LineIndex.of(docs, least).repeated(), "lines")
     n = rep.count()
     held = None
@@ -218,19 +211,51 @@ def dedup_lines(docs: DataFrame, least: int = MIN_KEY, id_col: str = "doc_id", t
     lines = arrow_map(docs, probe, "doc_id long, line int, h1 long, h2 long")
     drop = lines.join(rep.select("h1", "h2", "owner"), ["h1", "h2"]).where(F.col("doc_id") > F.col("owner"))
     # a document given twice has each of its lines twice here
-    drop = drop.groupBy("doc_id").agg(F.collect_set("line").alias("drop"))
+    return drop.groupBy("doc_id").agg(F.collect_set("line").alias("drop"))
+
+
+def _without(text: str, gone) -> str:
+    return "\n".join([x for i, x in enumerate(text.split("\n")) if i not in gone]) if gone else text
+
+
+def dedup_lines(docs: DataFrame, least: int = MIN_KEY, id_col: str = "doc_id", text_col: str = "text", filter_bytes: int = FILTER_BYTES) -> DataFrame:
+    """doc_id, n_lines, n_dropped, kept (text) of each row of docs.
+
+    A line goes if its key has at least `least` code points, two or more documents hold it, and this
+    document isn't the smallest of them. Within its smallest document all its lines stay. Null or empty
+    text is one empty line. A row without an id keeps all its lines and counts for no other; rows of the same id are
+    one document; other columns are left out; an empty table gives none.
+    """
+    docs = keep(docs, doc_id=id_col, text=text_col)
 
     def cut(b: pa.RecordBatch) -> dict:
         n_lines, n_dropped, kept = [], [], []
         for t, gone in zip(text_list(b.column("text")), b.column("drop").to_pylist()):
-            own = t.split("\n")
-            n_lines.append(len(own))
             gone = set(gone or ())
+            n_lines.append(t.count("\n") + 1)
             n_dropped.append(len(gone))
-            kept.append("\n".join([x for i, x in enumerate(own) if i not in gone]) if gone else t)
+            kept.append(_without(t, gone))
         return {"doc_id": b.column("doc_id"), "n_lines": n_lines, "n_dropped": n_dropped, "kept": pa.array(kept, pa.string())}
 
-    return arrow_map(docs.join(drop, "doc_id", "left"), cut, "doc_id long, n_lines long, n_dropped long, kept string")
+    return arrow_map(docs.join(lines_to_drop(docs, least, filter_bytes), "doc_id", "left"), cut, "doc_id long, n_lines long, n_dropped long, kept string")
+
+
+def dedup_documents(docs: DataFrame, least: int = MIN_KEY, filter_bytes: int = FILTER_BYTES) -> DataFrame:
+    """docs with the lines that dedup_lines() drops taken out of text, and n_chars (if there is such a column) that of what is left.
+    Every row stays, and every other column; a null text stays null."""
+    drop = lines_to_drop(keep(docs, doc_id="doc_id", text="text"), least, filter_bytes).select(F.col("doc_id").alias("_of"), F.col("drop").alias("_drop"))
+    schema, names = docs.schema, docs.columns
+
+    def run(batches):
+        for b in batches:
+            text, gone = b.column("text").to_pylist(), b.column("_drop").to_pylist()
+            text = [t if t is None else _without(t, set(g or ())) for t, g in zip(text, gone)]
+            cols = {n: b.column(n) for n in names} | {"text": pa.array(text, b.schema.field("text").type)}
+            if "n_chars" in cols:
+                cols["n_chars"] = pa.array([len(t) if t is not None and g else n for t, g, n in zip(text, gone, b.column("n_chars").to_pylist())], b.schema.field("n_chars").type)
+            yield pa.RecordBatch.from_arrays([cols[n] for n in names], names)
+
+    return docs.join(drop, docs["doc_id"] == drop["_of"], "left").drop("_of").mapInArrow(run, schema)
 
 
 _loaded = None

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmere.llm.common import arrow_map, bounded_sample, keep, text_bytes, text_list
+from quillmere.llm.common import arrow_filter, arrow_map, bounded_sample, keep, text_bytes, text_list
 from quillmere.llm.texthash import NOT_SPACE, U, grams, mix, words_of
 
 MIN_WORDS, WINDOW, MAX_REPEAT_PERCENT = 20, 8, 30
@@ -183,6 +183,24 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", bound: i
     return fit_trees(x, y, np.array([*STATISTICS.values()]))
 
 
+def _verdict(base: dict, x: np.ndarray, trees: Trees, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(base_failed, probability, kept)"""
+    n, r = base["n_words"], base["n_repeat_words"]
+    failed = (n < MIN_WORDS) | (100 * r > MAX_REPEAT_PERCENT * n)
+    p = trees.probability(x)
+    return failed, p, ~failed & (p >= threshold)
+
+
+def keep_good(docs: DataFrame, trees: Trees, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows of docs, all columns, that quality_rules() keeps."""
+
+    def run(b: pa.RecordBatch) -> np.ndarray:
+        arr = b.column(b.schema.get_field_index(text_col))
+        return _verdict(*statistics(*text_bytes(arr), text_list(arr)), trees, threshold)[2]
+
+    return arrow_filter(docs, run)
+
+
 def quality_rules(docs: DataFrame, trees: Trees, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, quality (probability), kept of each row of docs.
 
@@ -193,9 +211,7 @@ def quality_rules(docs: DataFrame, trees: Trees, id_col: str = "doc_id", text_co
 
     def run(b: pa.RecordBatch) -> dict:
         base, x = _columns(b)
-        n, r = base["n_words"], base["n_repeat_words"]
-        failed = (n < MIN_WORDS) | (100 * r > MAX_REPEAT_PERCENT * n)
-        p = trees.probability(x)
-        return {"doc_id": b.column("doc_id"), **{k: pa.array(v) for k, v in base.items()}, "base_failed": pa.array(failed), "quality": pa.array(p), "kept": pa.array(~failed & (p >= threshold))}
+        failed, p, kept = _verdict(base, x, trees, threshold)
+        return {"doc_id": b.column("doc_id"), **{k: pa.array(v) for k, v in base.items()}, "base_failed": pa.array(failed), "quality": pa.array(p), "kept": pa.array(kept)}
 
     return arrow_map(keep(docs, doc_id=id_col, text=text_col), run, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, quality double, kept boolean")
