@@ -20,9 +20,10 @@ import regex
 from pyspark.sql import DataFrame
 
 from quillmere.llm.common import arrow_map, keep, text_list
+from quillmere.llm.unicode_tables import older, recent
 
 #: Bounds of the memos of a worker: pieces, and pairs of neighbours.
-MEMO_PIECES, MEMO_PAIRS, MEMO_LENGTH = 400_000, 1_000_000, 64
+MEMO_PIECES, MEMO_PAIRS, MEMO_LENGTH = 200_000, 1_000_000, 64
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -36,6 +37,7 @@ class ByteBPE:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.pattern = ranks, regex.compile(pattern)
+        self.older = regex.compile(older(pattern))
         self.bytes_of = {r: b for b, r in ranks.items()}
         self._length = {r: len(b) for b, r in ranks.items()}
         self._find = ahocorasick.Automaton()
@@ -45,6 +47,7 @@ class ByteBPE:
         self._shorter: dict[int, int | None] = {}
         self._fits: dict[tuple, bool] = {}
         self._memo: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
 
     def merged(self, b: bytes) -> list[int]:
         """Plain merging, lowest rank first and leftmost among equals; for short byte strings."""
@@ -98,18 +101,26 @@ class ByteBPE:
         return out
 
     def _packed(self, piece: str) -> bytes:
-        ids = np.array(self.piece(piece.encode()), "<u4").tobytes()
+        """Packed ids of a piece. Of known pieces, those not asked for in the last MEMO_PIECES new ones are forgotten."""
+        ids = self._old.get(piece) or np.array(self.piece(piece.encode()), "<u4").tobytes()
         if len(piece) <= MEMO_LENGTH:
             if len(self._memo) >= MEMO_PIECES:
-                self._memo.clear()
+                self._old, self._memo = self._memo, {}
             self._memo[piece] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
         """Ids of the text as little-endian unsigned 32-bit integers."""
-        known, new = self._memo.get, self._packed
-        pieces = self.pattern.findall(text) if len(text) < 4_000_000 else (m[0] for m in self.pattern.finditer(text))
-        return b"".join([known(p) or new(p) for p in pieces])
+        memo, out = self._memo, []
+        pattern = self.older if recent(text) else self.pattern
+        pieces = pattern.findall(text) if len(text) < 4_000_000 else (m[0] for m in pattern.finditer(text))
+        for p in pieces:
+            if p in memo:
+                out.append(memo[p])
+            else:
+                out.append(self._packed(p))
+                memo = self._memo
+        return b"".join(out)
 
     def decode(self, ids: bytes) -> bytes:
         """Bytes of little-endian unsigned 32-bit ids."""

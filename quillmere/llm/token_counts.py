@@ -19,9 +19,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillmere.llm.common import arrow_map, keep, text_list
+from quillmere.llm.unicode_tables import NEW_CAPITALS, older, recent
 
 #: Bounds of a worker's memos.
-MEMO_WORDS, MEMO_PREFIXES, MEMO_PAIRS, MEMO_LENGTH = 400_000, 600_000, 1_000_000, 48
+MEMO_WORDS, MEMO_PREFIXES, MEMO_PAIRS, MEMO_LENGTH = 250_000, 600_000, 1_000_000, 48
 END = "</w>"
 
 
@@ -44,10 +45,12 @@ class PrefixCounter:
         self.longest = max(map(len, self.vocab))
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.pattern = regex.compile(split["pattern"]["Regex"])
+        self.older = regex.compile(older(split["pattern"]["Regex"]))
         special = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
         self.letters = {ord(chr(b)): c for b, c in byte_letters().items()}
         self._totals: dict[str, int] = {}
+        self._old_totals: dict[str, int] = {}
         self._prefix: dict[str, tuple[str, int]] = {}
         self._fits: dict[tuple, bool] = {}
 
@@ -114,12 +117,15 @@ class PrefixCounter:
         return before
 
     def total(self, piece: str) -> int:
-        """Tokens of a whole piece."""
+        """Tokens of a whole piece. Of known pieces, those not asked for in the last MEMO_WORDS new ones are forgotten."""
+        if (count := self._old_totals.get(piece)) is not None:
+            self._totals[piece] = count
+            return count
         word = piece.encode().decode("latin-1").translate(self.letters)
         count = self._last(word, len(word), END, self._inner(word, len(word) - 1))[1]
         if len(piece) <= MEMO_LENGTH:
             if len(self._totals) >= MEMO_WORDS:
-                self._totals.clear()
+                self._old_totals, self._totals = self._totals, {}
             self._totals[piece] = count
         return count
 
@@ -141,7 +147,13 @@ class PrefixCounter:
 
     def normal(self, text: str) -> str:
         """NFC and lower case, letter by letter (no final sigma)."""
-        return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        return text.translate(NEW_CAPITALS) if recent(text) else text
+
+    def pieces(self, text: str) -> list[str]:
+        """The pieces, of the normalised text, that merges stay within."""
+        normal = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        return self.older.findall(normal.translate(NEW_CAPITALS)) if recent(normal) else self.pattern.findall(normal)
 
     def segments(self, text: str):
         """(is special, segment) in order."""
@@ -156,9 +168,18 @@ class PrefixCounter:
 
     def count(self, text: str) -> int:
         """Tokens of the whole text."""
-        known, new, n = self._totals.get, self.total, 0
+        new, n = self.total, 0
         for special, part in self.segments(text) if self.special and "<|" in text else ((False, text),):
-            n += 1 if special else sum([known(p) or new(p) for p in self.pattern.findall(self.normal(part))])
+            if special:
+                n += 1
+                continue
+            known = self._totals
+            for p in self.pieces(part):
+                if p in known:
+                    n += known[p]
+                else:
+                    n += new(p)
+                    known = self._totals
         return n
 
     def prefixes(self, text: str) -> Prefixes:
@@ -177,7 +198,7 @@ class Prefixes:
                 shown.append(part)
                 continue
             part = counter.normal(part)
-            for m in counter.pattern.finditer(part):
+            for m in (counter.older if recent(part) else counter.pattern).finditer(part):
                 self.starts.append(at + m.start()), self.before.append(n), self.pieces.append(m[0])
                 n += counter._totals.get(m[0]) or counter.total(m[0])
             at += len(part)
