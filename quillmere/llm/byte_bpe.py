@@ -39,12 +39,11 @@ class ByteBPE:
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.older = regex.compile(older(pattern))
         self.bytes_of = {r: b for b, r in ranks.items()}
-        self._length = {r: len(b) for b, r in ranks.items()}
         self._find = ahocorasick.Automaton()
         for b, r in ranks.items():
-            self._find.add_word(b.decode("latin-1"), r)
+            self._find.add_word(b.decode("latin-1"), (r, len(b)))
         self._find.make_automaton()
-        self._shorter: dict[int, int | None] = {}
+        self._shorter: dict[int, tuple[int, int] | None] = {}
         self._fits: dict[tuple, bool] = {}
         self._memo: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
@@ -67,38 +66,42 @@ class ByteBPE:
             known = self._fits[ids] = self.merged(b"".join(self.bytes_of[i] for i in ids)) == [*ids]
         return known
 
-    def shorter(self, i: int) -> int | None:
-        """The longest entry that is a proper prefix of entry i."""
+    def shorter(self, i: int) -> tuple[int, int] | None:
+        """The longest entry that is a proper prefix of entry i, and its length."""
         if i not in self._shorter:
             b = self.bytes_of[i]
-            self._shorter[i] = next((self.ranks[b[:n]] for n in range(len(b) - 1, 0, -1) if b[:n] in self.ranks), None)
+            self._shorter[i] = next(((self.ranks[b[:n]], n) for n in range(len(b) - 1, 0, -1) if b[:n] in self.ranks), None)
         return self._shorter[i]
 
     def piece(self, b: bytes) -> list[int]:
         """Ids of one piece."""
         if (whole := self.ranks.get(b)) is not None:
             return [whole]
-        n, length = len(b), self._length
-        longest: list[int | None] = [None] * n
-        for end, i in self._find.iter(b.decode("latin-1")):
-            at = end + 1 - length[i]
-            if longest[at] is None or length[longest[at]] < length[i]:
-                longest[at] = i
-        out: list[int] = []
-        dead, at, next_ = bytearray(n + 1), 0, longest[0]
+        n, fits = len(b), self._fits
+        longest: list[tuple] = [None] * n  # (id, length) of the longest entry from each place
+        for end, entry in self._find.iter(b.decode("latin-1")):
+            longest[end + 1 - entry[1]] = entry  # ends grow, so the last is the longest
+        out: list[tuple] = []
+        dead, at, entry = None, 0, longest[0]
         while at < n:
-            while next_ is not None and (dead[at + length[next_]] or not (self.fits(out[-1], next_) if out else self.fits(next_))):
-                next_ = self.shorter(next_)
-            if next_ is not None:
-                out.append(next_)
-                at += length[next_]
-                next_ = longest[at] if at < n else None
+            while entry is not None:
+                if dead is None or at + entry[1] not in dead:
+                    pair = (out[-1][0], entry[0]) if out else (entry[0],)
+                    ok = fits.get(pair)
+                    if self.fits(*pair) if ok is None else ok:
+                        break
+                entry = self.shorter(entry[0])
+            if entry is not None:
+                out.append(entry)
+                at += entry[1]
+                entry = longest[at] if at < n else None
             else:
-                dead[at] = 1
+                dead = dead or set()
+                dead.add(at)
                 last = out.pop()
-                at -= length[last]
-                next_ = self.shorter(last)
-        return out
+                at -= last[1]
+                entry = self.shorter(last[0])
+        return [e[0] for e in out]
 
     def _packed(self, piece: str) -> bytes:
         """Packed ids of a piece. Of known pieces, those not asked for in the last MEMO_PIECES new ones are forgotten."""
@@ -111,16 +114,26 @@ class ByteBPE:
 
     def encode(self, text: str) -> bytes:
         """Ids of the text as little-endian unsigned 32-bit integers."""
-        memo, out = self._memo, []
         pattern = self.older if recent(text) else self.pattern
-        pieces = pattern.findall(text) if len(text) < 4_000_000 else (m[0] for m in pattern.finditer(text))
-        for p in pieces:
-            if p in memo:
-                out.append(memo[p])
-            else:
-                out.append(self._packed(p))
-                memo = self._memo
-        return b"".join(out)
+        return b"".join(self._coded(pattern.findall(text[a:b])) for a, b in self._cuts(text))
+
+    def _coded(self, pieces: list[str]) -> bytes:
+        ids, i = list(map(self._memo.get, pieces)), -1
+        for _ in range(ids.count(None)):
+            i = ids.index(None, i + 1)
+            ids[i] = self._memo.get(pieces[i]) or self._packed(pieces[i])
+        return b"".join(ids)
+
+    def _cuts(self, text: str, size: int = 1_000_000):
+        """A long text in stretches that begin where a piece does, so that only one stretch's pieces are held."""
+        if len(text) <= 2 * size:
+            return [(0, len(text))]
+        pattern, ends, last = self.older if recent(text) else self.pattern, [0], 0
+        for m in pattern.finditer(text):
+            if m.start() - last >= size:
+                last = m.start()
+                ends.append(last)
+        return zip(ends, [*ends[1:], len(text)])
 
     def decode(self, ids: bytes) -> bytes:
         """Bytes of little-endian unsigned 32-bit ids."""
