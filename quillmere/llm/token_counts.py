@@ -101,20 +101,24 @@ class PrefixCounter:
             for n in range(1, upto + 1):
                 states.append(self._last(word, n, "", states.__getitem__))
             return states.__getitem__
-        known = self._prefix
+        # the known prefixes of a word are always its first few: they are added in order and forgotten together
+        known, vocab, fits, longest = self._prefix, self.vocab, self._fits, self.longest
         if len(known) >= MEMO_PREFIXES:
             known.clear()
         n = upto
         while n > 0 and word[:n] not in known:
             n -= 1
-        before = lambda k: known[word[:k]]
         for k in range(n + 1, upto + 1):
-            # a shorter prefix may be gone only after a clear(), which happens before this loop
-            for j in range(1, k):
-                if word[:j] not in known:
-                    known[word[:j]] = self._last(word, j, "", before)
-            known[word[:k]] = self._last(word, k, "", before)
-        return before
+            for a in range(max(0, k - longest), k):
+                token = word[a:k]
+                if token in vocab:
+                    state = known[word[:a]] if a else None
+                    pair = (state[0], token) if a else (token,)
+                    ok = fits.get(pair)
+                    if self.fits(*pair) if ok is None else ok:
+                        known[word[:k]] = token, state[1] + 1 if a else 1
+                        break
+        return lambda k: known[word[:k]]
 
     def total(self, piece: str) -> int:
         """Tokens of a whole piece. Of known pieces, those not asked for in the last MEMO_WORDS new ones are forgotten."""
@@ -173,15 +177,33 @@ class PrefixCounter:
             if special:
                 n += 1
                 continue
-            known = self._totals
-            for p in self.pieces(part):
-                if p in known:
-                    n += known[p]
-                else:
-                    n += new(p)
-                    known = self._totals
+            pieces = self.pieces(part)
+            counts, i = list(map(self._totals.get, pieces)), -1
+            for _ in range(counts.count(None)):
+                i = counts.index(None, i + 1)
+                counts[i] = self._totals.get(pieces[i]) or new(pieces[i])
+            n += sum(counts)
         return n
 
+    def cut(self, text: str, budget: int) -> int:
+        """Length, in the normalised text, of the longest prefix of at most budget tokens that ends before or in the piece
+        that exceeds it; reads no further than that piece."""
+        at = n = 0
+        for special, part in self.segments(text):
+            if special:
+                if n == budget:
+                    return at
+                n, at = n + 1, at + len(part)
+                continue
+            part = self.normal(part)
+            for m in (self.older if recent(part) else self.pattern).finditer(part):
+                count = self._totals.get(m[0]) or self.total(m[0])
+                if n + count > budget:
+                    return at + m.start() + max((i + 1 for i, c in enumerate(self.prefix_totals(m[0])) if n + c <= budget), default=0)
+                n += count
+            at += len(part)
+        return at
+
     def prefixes(self, text: str) -> Prefixes:
         return Prefixes(self, text)
 
@@ -220,15 +242,8 @@ class Prefixes:
         return self.before[i] + self.counter.prefix_totals(piece)[inside - 1]
 
     def longest(self, budget: int) -> int:
-        """Length of the longest prefix of at most budget tokens, after which no shorter prefix exceeds it by piece."""
-        if self.total <= budget:
-            return len(self.text)
-        i = bisect_right(self.before, budget) - 1
-        if i < 0:
-            return 0
-        if self.pieces[i] is None:
-            return self.starts[i]
-        return self.starts[i] + max((j + 1 for j, c in enumerate(self.counter.prefix_totals(self.pieces[i])) if self.before[i] + c <= budget), default=0)
+        """Length of the longest prefix of at most budget tokens that ends before or in the piece that exceeds it."""
+        return len(self.text) if self.total <= budget else self.counter.cut(self.text, budget)
 
 
 @lru_cache(maxsize=4)
@@ -250,7 +265,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 2048, id_col: str = "d
         c = counter(path)
         texts = text_list(b.column("text"))
         n = [c.count(t) for t in texts]
-        return {"doc_id": b.column("doc_id"), "n_bytes": [len(t.encode()) for t in texts], "n_tokens": n, "cut_chars": [c.prefixes(t).longest(limit) if k > limit else None for t, k in zip(texts, n)]}
+        return {"doc_id": b.column("doc_id"), "n_bytes": [len(t.encode()) for t in texts], "n_tokens": n, "cut_chars": [c.cut(t, limit) if k > limit else None for t, k in zip(texts, n)]}
 
     out = arrow_map(keep(docs, doc_id=id_col, text=text_col), run, "doc_id long, n_bytes long, n_tokens long, cut_chars long")
     return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"), "cut_chars")
