@@ -46,6 +46,7 @@ def iso_timestamp(c: Column) -> Column:
 
 def iso_text(ts: Column) -> Column:
     """A timestamp as UTC text ending in Z; microseconds only where they aren't zero."""
+    ts = ts.cast("timestamp")
     return F.when(F.unix_micros(ts) % 1_000_000 == 0, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")).otherwise(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
 
 
