@@ -24,8 +24,9 @@ from quillmere.llm.components import connected_components
 from quillmere.llm.texthash import NOT_SPACE, U, grams, mix, whole_gram, words_of
 
 COORDINATES = 64
-#: Levels after which nodes are first looked at, further levels of larger nodes, documents in a node that is compared exhaustively.
-LEVEL, DEEPER, SMALL = 3, 6, 128
+#: Levels after which nodes are first looked at; further levels of larger nodes and how many subtrees of their own they get for these;
+#: documents in a node that is compared exhaustively.
+LEVEL, DEEPER, SUBTREES, SMALL = 3, 4, 3, 128
 #: Recall to which the number of trees is set, for a pair whose similarity is just the threshold.
 RECALL = 0.999999
 #: Shingles in a block of the exact comparison.
@@ -79,8 +80,10 @@ def survival(similarity: float, level: int) -> float:
     return f
 
 
-def trees_for(similarity: float, level: int = LEVEL, recall: float = RECALL) -> int:
-    return math.ceil(math.log(1 - recall) / math.log(1 - survival(similarity, level)))
+def trees_for(similarity: float, recall: float = RECALL) -> int:
+    """Trees for the recall even where all nodes are large: there a pair must also meet in one of the subtrees."""
+    one = survival(similarity, LEVEL) * (1 - (1 - survival(similarity, DEEPER)) ** SUBTREES)
+    return math.ceil(math.log(1 - recall) / math.log(1 - one))
 
 
 def branch(path: np.ndarray, row: np.ndarray, sketch: np.ndarray, similarity: float, levels: int) -> tuple[np.ndarray, np.ndarray]:
@@ -219,7 +222,8 @@ def candidates(reps: DataFrame, similarity: float, trees: int | None = None) ->
 
     def on(b: pa.RecordBatch) -> dict:
         sk = _sketch_rows(b.column("sketch"))
-        path, row = branch(b.column("path").to_numpy().view(U), np.arange(len(sk)), sk, similarity, DEEPER)
+        start = [mix(b.column("path").to_numpy().view(U) + U(i)) for i in range(SUBTREES)]
+        path, row = branch(np.concatenate(start), np.tile(np.arange(len(sk)), SUBTREES), sk, similarity, DEEPER)
         ids = b.column("doc_id").to_numpy()[row]
         key = np.unique(np.stack([path.view(np.int64), ids], 1), axis=0) if len(ids) else np.zeros((0, 2), np.int64)
         return {"path": pa.array(key[:, 0]), "doc_id": pa.array(key[:, 1])}

@@ -18,8 +18,9 @@ from quillmere.llm.common import arrow_map, bounded_sample, keep, text_bytes, te
 from quillmere.llm.texthash import LOWER
 
 DIMS, ORDERS = 4096, (1, 2, 3, 4)
-#: The centroids are fitted on at most so many texts a language and so many languages.
-MAX_TEXTS, MAX_LANGS, CENTROIDS = 1000, 200, 4
+#: The centroids are fitted on at most so many texts a language, of at most so many languages; all are dense rows of DIMS floats on
+#: the driver (16 kB a text).
+MAX_TEXTS, MAX_LANGS, CENTROIDS = 500, 200, 4
 #: A text is rejected below this quantile of the cosines of a centroid's own texts, less the margin.
 REJECT_QUANTILE, REJECT_MARGIN = 0.005, 0.1
 
@@ -123,11 +124,15 @@ def fit(docs: DataFrame, trainable, id_col: str = "doc_id", text_col: str = "tex
         at = [np.flatnonzero(r) for r in c]
         return {"doc_id": b.column("doc_id"), "lang": b.column("lang"), "dims": pa.array([a.astype(np.int32) for a in at], pa.list_(pa.int32())), "n": pa.array([r[a] for r, a in zip(c, at)], pa.list_(pa.float32()))}
 
-    got = sorted(arrow_map(some, run, "doc_id long, lang string, dims array<int>, n array<float>").toArrow().to_pylist(), key=lambda r: (r["doc_id"], r["lang"]))
-    c = np.zeros((len(got), DIMS), np.float32)
-    for i, r in enumerate(got):
-        c[i, r["dims"]] = r["n"]
-    return fit_centroids(c, np.array([r["lang"] for r in got], object))
+    got = arrow_map(some, run, "doc_id long, lang string, dims array<int>, n array<float>").toArrow().combine_chunks()
+    ids, lang = got.column("doc_id").to_numpy(), np.array(got.column("lang").to_pylist(), object)
+    dims, n = (got.column(k).combine_chunks() for k in ("dims", "n"))
+    first, dims, n = dims.offsets.to_numpy(), dims.values.to_numpy(), n.values.to_numpy()
+    order = np.lexsort((first[:-1] - first[1:], ids))  # the same rows in the same order, however the job ran
+    c = np.zeros((len(ids), DIMS), np.float32)
+    for to, i in enumerate(order):
+        c[to, dims[first[i] : first[i + 1]]] = n[first[i] : first[i + 1]]
+    return fit_centroids(c, lang[order])
 
 
 def identify(docs: DataFrame, model: Centroids, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -105,7 +105,7 @@ class Trees:
 
 def fit_trees(x: np.ndarray, y: np.ndarray, monotone: np.ndarray, trees: int = 60, depth: int = 3, rate: float = 0.2, bins: int = 32, ridge: float = 1.0, least: int = 10) -> Trees:
     """Newton boosting of the logistic loss on histograms. monotone: -1, 0 or 1 for each feature."""
-    edges = [np.unique(np.quantile(c, np.linspace(0, 1, bins + 1)[1:-1])) for c in x.T]
+    edges = [np.unique(np.quantile(c, np.linspace(0, 1, bins + 1)[1:-1])) if len(c) else c for c in x.T]
     binned = np.column_stack([np.searchsorted(e, c, "left") for e, c in zip(edges, x.T)])
     mean = np.clip(y.mean() if len(y) else 1.0, 0.01, 0.99)
     bias = float(np.log(mean / (1 - mean)))

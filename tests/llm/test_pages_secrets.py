@@ -1,0 +1,137 @@
+"""Main-text extraction on pages made here, secret scans against brute force, the pipeline stage by stage."""
+
+import hashlib
+import re
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from compare import TABLES, plain
+from quillmere.llm import html_text, queries, quality_rules, secrets
+from quillmere.llm.common import table
+
+SF = "/root/testdata/sf0.001"
+ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+
+
+def spans(t):
+    kinds = [("assign", ASSIGN, lambda m: len(m[2]) >= 6), ("access", re.compile("AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 20), ("hex", re.compile("[0-9a-f]+"), lambda m: len(m[0]) >= 24)]
+    return sorted((m.start(), k, m.end()) for k, (_, p, ok) in enumerate(kinds) for m in p.finditer(t) if ok(m))
+
+
+def test_secrets(spark, odd, texts):
+    live, shared = "Ab3dE6gH9jK2mN5pQ8rS1t", "Zb3dE6gH9jK2mN5pQ8rS1t"
+    more = [(9000, f"é key {live} and {shared}", "a"), (9001, shared, "b"), (9002, f"{live} {live}", "a"), (9003, "plainwordsofmorethantwentyletters", None), (9003, "plainwordsofmorethantwentyletters", None)]
+    docs = odd.select("doc_id", "text", "source").unionByName(spark.createDataFrame(more, "doc_id long, text string, source string"))
+    got = secrets.scan_secrets(docs).collect()
+    assert len(got) == len(texts) + len(more)
+    want = dict(texts) | {d: t for d, t, _ in more}
+    for r in got:
+        b = spans(want[r.doc_id] or "")
+        base = [f"{('assign', 'access', 'hex')[k]}:{s}:{e}" for s, k, e in b]
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(k == i for _, k, _ in b) for i in range(3)]
+        assert r.base_sha256 == hashlib.sha256(",".join(base).encode()).hexdigest() and set(base) <= set(r.spans.split(","))
+    by = {r.doc_id: r for r in got}
+    assert by[9000].spans == f"live:6:{6 + len(live)}" and by[9000].n_example == 1 and by[9002].n_live == 2 and by[9003].spans == ""
+    plan = secrets.scan_secrets(docs)._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
+    assert secrets.scan_secrets(docs.where("false")).count() == 0
+
+
+def test_article_only():
+    page = """<html><head><title>T</title></head><body><header class="site-header"><h1>Site</h1></header><nav><ul><li><a href=x>Home</a></ul></nav>
+    <div class="cookie-notice">We use cookies. Agree?</div><article><h1>A &amp; B</h1><p>First part, with <b>bold</b>&nbsp;words.<br>It goes on, and on.<p>Second
+    part. a &lt; b.<script>var x = "<p>no</p>";</script><!-- no --><div class="ad">Buy this now.</div><p>Third part, the last one.</article>
+    <section id="comments"><div class="comment"><p>I liked it. Thanks for it all.</p></div></section><aside class="sidebar"><p>More to read here.</p></aside>
+    <form class="newsletter"><label>Mail</label><input></form><footer>&copy; Site</footer></body></html>"""
+    assert html_text.extract([page], html_text.trained())[0][0] == "A & B First part, with bold words. It goes on, and on. Second part. a < b. Third part, the last one."
+
+
+@pytest.mark.parametrize("page", ["", "plain", "<", "<p", "<p>a<b>c</p></b></i>", "<script>", "<!-- x", "<td><tr><li>", '<a href="x', "</p></p>", "<p " + 'a="' * 500, "<div>" * 3000, "&#0; &bogus; &#x110000;"])
+def test_broken_pages(page):
+    assert isinstance(html_text.extract([page], html_text.trained())[0][0], str)
+
+
+def test_held_out_pages():
+    good = missed = wrong = 0
+    model = html_text.trained()
+    for source in html_text.labelled_pages(60, seed=77):
+        p = html_text.Page(source)
+        m, _ = html_text.Forest([p]).marginals(*model)
+        label = list(p.label)
+        for i, up in enumerate(p.parent):
+            label[i] = label[up] if label[i] < 0 and up >= 0 else label[i]
+        for node, text, _ in p.pieces:
+            if text and text.strip() and not p.never[node]:
+                good += label[node] == 1 and m[node] >= 0.5
+                missed += label[node] == 1 and m[node] < 0.5
+                wrong += label[node] != 1 and m[node] >= 0.5
+    assert missed < 0.08 * good and wrong < 0.02 * good
+
+
+def test_pages_operator(spark):
+    rows = [(1, "u", None, 3), (2, None, "", 3), (None, "u", "<article><p>Some words of a text, here. And more of it.</p></article>", 3), (1, "u", None, 3)]
+    got = html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string, n_chars int")).collect()
+    assert len(got) == 4 and sorted(r.n_chars for r in got)[:3] == [0, 0, 0] and max(len(r.text) for r in got) == max(r.n_chars for r in got) > 20
+    assert queries.op6_html_text(spark, SF).where("n_chars = 0").count() == 0
+
+
+def test_messages_are_exact_on_a_chain():
+    import numpy as np
+
+    p = html_text.Page("<div><p>a</p><section>bb, cc.</section></div>")
+    f = html_text.Forest([p])
+    rng = np.random.default_rng(2)
+    w, pair = rng.normal(size=html_text.N_FEATURES), rng.normal(size=(4, 2, 2))
+    m, _ = f.marginals(w, pair)
+    n, unary, total, on = len(f.parent), f.x @ w, 0.0, np.zeros(len(f.parent))
+    for bits in range(2**n):
+        y = [(bits >> i) & 1 for i in range(n)]
+        e = np.exp(sum(unary[i] * y[i] for i in range(n)) + sum(pair[f.edge[i], y[f.parent[i]], y[i]] for i in range(n) if f.parent[i] >= 0))
+        total += e
+        on += e * np.array(y)
+    assert np.allclose(m, on / total)
+
+
+@pytest.mark.parametrize("name", list(queries.ORACLE_SQL))
+def test_sql(spark, name):
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    df, rel = queries.QUERIES[name](spark, SF), con.sql(queries.ORACLE_SQL[name])
+    order = sorted(df.columns)
+    assert order == sorted(rel.columns)
+    assert sorted((tuple(plain(r[c]) for c in order) for r in df.collect()), key=repr) == sorted((tuple(plain(r[rel.columns.index(c)]) for c in order) for r in rel.fetchall()), key=repr)
+
+
+def test_pipeline(spark, tmp_path):
+    from test_dedup import by_lines, groups, hits
+
+    docs = table(spark, SF, "documents")
+    at = docs
+    bench = [(r.item_id, r.text) for r in table(spark, SF, "benchmark").collect()]
+    for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        before = [(r.doc_id, r.text) for r in at.collect()]
+        stage(spark, at, SF).write.parquet(str(tmp_path / name))
+        after = spark.read.parquet(str(tmp_path / name))
+        rows = [(r.doc_id, getattr(r, "text", None)) for r in after.collect()]
+        if i < 4:
+            assert sorted(after.columns) == sorted(docs.columns)
+        if name == "quality_rules":
+            kept = quality_rules.quality_rules(at, quality_rules.fit(at, table(spark, SF, "labels"))).where("kept")
+            assert sorted(d for d, _ in rows) == sorted(r.doc_id for r in kept.collect())
+        elif name == "line_dedup":
+            want = by_lines(before)
+            assert dict(rows) == {d: want[d][2] for d, _ in before} and after.where(F.length("text") != F.col("n_chars")).count() == 0
+        elif name == "near_dedup":
+            want = groups(before, 5, 80)
+            assert sorted(d for d, _ in rows) == sorted(d for d, _ in before if want[d][1] == d)
+        elif name == "decontamination":
+            want = hits(before, bench)
+            assert sorted(d for d, _ in rows) == sorted(d for d, _ in before if not want[d][4])
+        else:
+            assert len(rows) == len(before)
+        at = after
+    assert queries.pipeline(spark, SF).count() == at.count()
