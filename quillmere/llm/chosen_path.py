@@ -5,7 +5,7 @@ In each of many independent trees a node picks one or two coordinates of the ske
 all documents in it, and passes each document on to the child named by its value there; so a pair at the
 threshold meets in one child on average, whatever the level, and unlike documents part. A
 document works out its nodes at a level alone; only nodes that hold several documents are looked at:
-small ones are compared exhaustively on sketches, larger ones branch on to a depth where only like documents are still together.
+small ones are compared exhaustively on sketches, documents of larger ones branch on to levels where only like documents are still together.
 What is linked there are candidates; the groups that these form are then compared
 exactly on the full sets, in blocks if a group is large. No cap drops anything.
 """
@@ -19,16 +19,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmere.llm.common import arrow_map, keep, stored, text_bytes
+from quillmere.llm.common import arrow_map, dropped, keep, stored, text_bytes
 from quillmere.llm.components import connected_components
 from quillmere.llm.texthash import NOT_SPACE, U, grams, mix, whole_gram, words_of
 
 COORDINATES = 64
-#: Levels after which nodes are first looked at; further levels of larger nodes and how many subtrees of their own they get for these;
-#: documents in a node that is compared exhaustively.
-LEVEL, DEEPER, SUBTREES, SMALL = 3, 4, 3, 128
+#: Levels at which nodes are looked at, one forest for each; documents in a node that is compared exhaustively. Documents of larger
+#: nodes go on to the next forest; in nodes of the last, only documents that are alike are still together.
+LEVELS, SMALL = (3, 7, 12), 256
 #: Recall to which the number of trees is set, for a pair whose similarity is just the threshold.
 RECALL = 0.999999
+#: Documents with candidates are looked up where the texts are (two integers each) if there are at most so many; beyond, texts are shuffled to them.
+BROADCAST_ROWS = 1_000_000
 #: Shingles in a block of the exact comparison.
 BLOCK_SHINGLES = 1_000_000
 
@@ -80,10 +82,8 @@ def survival(similarity: float, level: int) -> float:
     return f
 
 
-def trees_for(similarity: float, recall: float = RECALL) -> int:
-    """Trees for the recall even where all nodes are large: there a pair must also meet in one of the subtrees."""
-    one = survival(similarity, LEVEL) * (1 - (1 - survival(similarity, DEEPER)) ** SUBTREES)
-    return math.ceil(math.log(1 - recall) / math.log(1 - one))
+def trees_for(similarity: float, level: int, recall: float = RECALL) -> int:
+    return math.ceil(math.log(1 - recall) / math.log(1 - survival(similarity, level)))
 
 
 def branch(path: np.ndarray, row: np.ndarray, sketch: np.ndarray, similarity: float, levels: int) -> tuple[np.ndarray, np.ndarray]:
@@ -187,51 +187,59 @@ def _alike(sk: np.ndarray, n: np.ndarray, similarity: float, least: int, block:
         yield i + a, j + a
 
 
-def candidates(reps: DataFrame, similarity: float, trees: int | None = None) -> DataFrame:
-    """a, b: candidate links between classes (doc_id, n_shingles, sketch), a forest of each node's candidates.
+def nodes_of(reps: DataFrame, similarity: float, level: int, trees: int) -> DataFrame:
+    """path, doc_id: the nodes of a level that each document is in; every document works them out alone."""
+    roots = mix(np.arange(1, trees + 1, dtype=U) * U(0x632BE59BD9B4E019) + U(level))
 
-    Sketches must agree in so many places as a pair at the threshold does in all but about one case in 10**7.
-    """
-    trees = trees or trees_for(similarity)
-    least = int(COORDINATES * similarity - 5.2 * math.sqrt(COORDINATES * similarity * (1 - similarity)))
-    roots = mix(np.arange(1, trees + 1, dtype=U) * U(0x632BE59BD9B4E019))
-
-    def paths(b: pa.RecordBatch) -> dict:
+    def run(b: pa.RecordBatch) -> dict:
         sk = _sketch_rows(b.column("sketch"))
-        row = np.tile(np.arange(len(sk)), trees)
-        path, row = branch(np.repeat(roots, len(sk)), row, sk, similarity, LEVEL)
+        path, row = branch(np.repeat(roots, len(sk)), np.tile(np.arange(len(sk)), trees), sk, similarity, level)
         ids = b.column("doc_id").to_numpy()[row]
-        key = np.unique(np.stack([path.view(np.int64), ids], 1), axis=0)
+        key = np.unique(np.stack([path.view(np.int64), ids], 1), axis=0) if len(ids) else np.zeros((0, 2), np.int64)
         return {"path": pa.array(key[:, 0]), "doc_id": pa.array(key[:, 1])}
 
-    nodes = stored(arrow_map(reps.select("doc_id", "sketch"), paths, "path long, doc_id long"), "nodes")
-    size = nodes.groupBy("path").agg(F.count("*").alias("size")).where("size > 1")
-    shared = stored(nodes.join(size, "path").join(reps, "doc_id").select("path", "doc_id", "size", "n_shingles", "sketch"), "shared")
+    return arrow_map(reps.select("doc_id", "sketch"), run, "path long, doc_id long")
 
-    def compare(t: pa.Table):
-        ids, n = t.column("doc_id").to_numpy(), t.column("n_shingles").to_numpy()
-        sk = _sketch_rows(t.column("sketch"))
-        links, a, b = Links(len(ids)), [], []
-        for i, j in _alike(sk, n, similarity, least):
-            for x, y in zip(i.tolist(), j.tolist()):
-                if links.link(x, y):
-                    a.append(ids[x]), b.append(ids[y])
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())}) if a else None
 
-    small = by_group(shared.where(F.col("size") <= SMALL).select("path", "doc_id", "n_shingles", "sketch"), "path", compare, "a long, b long")
+def candidates(reps: DataFrame, similarity: float, recall: float = RECALL) -> DataFrame:
+    """a, b: candidate links between classes (doc_id, n_shingles, sketch), a star for each group of a node's candidates.
 
-    def on(b: pa.RecordBatch) -> dict:
-        sk = _sketch_rows(b.column("sketch"))
-        start = [mix(b.column("path").to_numpy().view(U) + U(i)) for i in range(SUBTREES)]
-        path, row = branch(np.concatenate(start), np.tile(np.arange(len(sk)), SUBTREES), sk, similarity, DEEPER)
-        ids = b.column("doc_id").to_numpy()[row]
-        key = np.unique(np.stack([path.view(np.int64), ids], 1), axis=0) if len(ids) else np.zeros((0, 2), np.int64)
-        return {"path": pa.array(key[:, 0]), "doc_id": pa.array(key[:, 1])}
+    A pair meets in some node of each forest with the recall asked for. If a node they share is small, they are compared on
+    sketches, which must agree in so many places as those of a pair at the threshold do in all but about one case in 10**7. If all are
+    large, both go on to the next forest. In large nodes of the last every document is tied to the smallest.
+    """
+    least = int(COORDINATES * similarity - 5.2 * math.sqrt(COORDINATES * similarity * (1 - similarity)))
 
-    deep = stored(arrow_map(shared.where(F.col("size") > SMALL).select("path", "doc_id", "sketch"), on, "path long, doc_id long"), "deep")
-    least_ = deep.groupBy("path").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).where("a < z").select("path", "a")
-    large = deep.join(least_, "path").where("doc_id > a").select("a", F.col("doc_id").alias("b"))
-    return small.unionByName(large).distinct()
+    def compare(t: pa.Table):
+        """Each document tied to the smallest of those it is linked with here: many nodes of a group then name the same ties."""
+        t = t.sort_by("doc_id")
+        ids, n = t.column("doc_id").to_numpy(), t.column("n_shingles").to_numpy()
+        links = Links(len(ids))
+        for i, j in _alike(_sketch_rows(t.column("sketch")), n, similarity, least):
+            for x, y in zip(i.tolist(), j.tolist()):
+                links.link(x, y)
+        roots = np.array([links.root(i) for i in range(len(ids))])
+        tied = np.flatnonzero(roots != np.arange(len(ids)))
+        return pa.table({"a": pa.array(ids[roots[tied]]), "b": pa.array(ids[tied])}) if len(tied) else None
+
+    found = None
+    for level in LEVELS:
+        nodes = stored(nodes_of(reps, similarity, level, trees_for(similarity, level, recall)), "nodes")
+        size = nodes.groupBy("path").agg(F.count("*").alias("size"), F.min("doc_id").alias("least")).where("size > 1")
+        shared = stored(nodes.join(size, "path"), "shared")
+        dropped(nodes)
+        small = shared.where(F.col("size") <= SMALL).select("path", "doc_id").join(reps, "doc_id")
+        small = by_group(small.select("path", "doc_id", "n_shingles", "sketch"), "path", compare, "a long, b long")
+        found = small if found is None else found.unionByName(small)
+        large = shared.where(F.col("size") > SMALL)
+        if level == LEVELS[-1]:
+            found = found.unionByName(large.where("doc_id > least").select(F.col("least").alias("a"), F.col("doc_id").alias("b")))
+            break
+        hot = stored(large.select("doc_id").distinct(), "hot")
+        if not hot.limit(1).count():
+            break
+        reps = reps.join(hot, "doc_id", "left_semi")
+    return found.distinct()
 
 
 def _verified(t: pa.Table, k: int, similarity: tuple[int, int]):
@@ -274,7 +282,9 @@ def _verified(t: pa.Table, k: int, similarity: tuple[int, int]):
 
 def links(docs: DataFrame, groups: DataFrame, k: int, similarity: tuple[int, int]) -> DataFrame:
     """a, b: confirmed links, a forest of each block pair, among the documents of each group (v, component)."""
-    texts = docs.join(groups.withColumnRenamed("v", "doc_id"), "doc_id")
+    groups = groups.withColumnRenamed("v", "doc_id")
+    few = groups.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    texts = docs.join(F.broadcast(groups) if few else groups, "doc_id")
 
     def run(b: pa.RecordBatch) -> dict:
         out, size = [None] * b.num_rows, np.zeros(b.num_rows, np.int64)
@@ -292,7 +302,7 @@ def links(docs: DataFrame, groups: DataFrame, k: int, similarity: tuple[int, int
     return by_group(pairs, "pair", lambda t: _verified(t, k, similarity), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, similarity: tuple[int, int] = (80, 100), id_col: str = "doc_id", text_col: str = "text", trees: int | None = None) -> DataFrame:
+def near_duplicates(docs: DataFrame, k: int = 5, similarity: tuple[int, int] = (80, 100), id_col: str = "doc_id", text_col: str = "text", recall: float = RECALL) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of each row of docs.
 
     Documents are linked if den * |intersection| >= num * |union| for similarity (num, den) of their sets of k-word
@@ -307,7 +317,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: tuple[int, int] = (
     classes = stored(some.groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("rep")), "classes")
     reps = some.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "n_shingles", "sketch")
     reps = stored(reps, "reps")
-    groups = connected_components(candidates(reps, similarity[0] / similarity[1], trees))
+    groups = connected_components(candidates(reps, similarity[0] / similarity[1], recall))
     found = stored(links(docs, groups, k, similarity), "links")
     parts = connected_components(found)
     of_class = classes.join(parts.select(F.col("v").alias("rep"), "component"), "rep", "left").select("k1", "k2", "n_shingles", F.coalesce("component", "rep").alias("component_id"))

@@ -11,10 +11,16 @@ from quillmere.llm.common import dropped, stored
 def connected_components(edges: DataFrame) -> DataFrame:
     """v, component (smallest vertex reachable) for every vertex of edges (a, b); nothing is collected.
 
-    Each round, a vertex takes the least label among its neighbours' and then that label's own label, so labels
+    First each vertex is tied to its smallest neighbour m, and its other smaller neighbours to m as well: what links
+    the vertices stays, and the many ties of a large group to the same few small vertices become one each. Then, each round, a vertex takes the least label among its neighbours' and then that label's own label, so labels
     travel twice as far each round. Rounds end when no label changes. Each is written to the shared folder.
     """
-    both = stored(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct(), "edges")
+    down = stored(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "edges")
+    least = down.groupBy("b").agg(F.min("a").alias("m"))
+    aside = down.join(least, (down["b"] == least["b"]) & (down["a"] != least["m"])).select(F.col("m").alias("a"), down["a"].alias("b")).distinct()
+    ties = least.select(F.col("m").alias("a"), "b").unionByName(aside)
+    both = stored(ties.unionByName(ties.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
+    dropped(down)
     label = stored(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("v"), F.least("a", "m").alias("component")), "labels")
     while True:
         near = both.join(label.select(F.col("v").alias("b"), "component"), "b").groupBy(F.col("a").alias("v")).agg(F.min("component").alias("near"))

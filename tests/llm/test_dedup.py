@@ -34,10 +34,11 @@ def groups(texts, k, num):
     return {d: (len(sets[d]), root(d)) for d in sets}
 
 
-@pytest.mark.parametrize(("k", "num", "small", "block"), [(3, 85, 128, 10**6), (5, 80, 128, 10**6), (3, 85, 2, 10**6), (3, 85, 128, 300), (5, 80, 2, 300)])
+@pytest.mark.parametrize(("k", "num", "small", "block"), [(3, 85, 256, 10**6), (5, 80, 256, 10**6), (3, 85, 2, 10**6), (3, 85, 128, 300), (5, 80, 2, 300)])
 def test_near_duplicates(odd, texts, monkeypatch, k, num, small, block):
     monkeypatch.setattr(chosen_path, "SMALL", small)  # larger nodes branch on
     monkeypatch.setattr(chosen_path, "BLOCK_SHINGLES", block)  # groups are compared in blocks
+    monkeypatch.setattr(chosen_path, "BROADCAST_ROWS", block // 300)  # texts are shuffled to the groups
     want = groups(texts, k, num)
     got = chosen_path.near_duplicates(odd, k, (num, 100)).collect()
     assert len(got) == len(texts)
@@ -52,7 +53,7 @@ def test_near_duplicates_of_none(odd):
 
 
 def test_recall_of_trees():
-    assert chosen_path.trees_for(0.85) >= 10 and chosen_path.survival(0.85, 3) > 0.5
+    assert chosen_path.trees_for(0.85, 3) >= 10 and chosen_path.survival(0.85, 3) > 0.5
     rng = np.random.default_rng(1)
     a = rng.integers(0, 2**62, (200, 100)).astype(np.uint64)
     met = 0
@@ -60,9 +61,9 @@ def test_recall_of_trees():
         b = row.copy()
         b[:8] = rng.integers(0, 2**62, 8)
         sk = np.concatenate([chosen_path.sketches(np.sort(s), np.array([0, len(s)])) for s in (row, b)])
-        n = chosen_path.trees_for(0.85)
+        n = chosen_path.trees_for(0.85, 3)
         root = chosen_path.mix(np.arange(1, n + 1, dtype=np.uint64))
-        path, who = chosen_path.branch(np.repeat(root, 2), np.tile([0, 1], n), sk, 0.85, chosen_path.LEVEL)
+        path, who = chosen_path.branch(np.repeat(root, 2), np.tile([0, 1], n), sk, 0.85, 3)
         met += bool(set(path[who == 0]) & set(path[who == 1]))
     assert met == 200
 
