@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmere.llm.common import arrow_map, dropped, keep, stored, text_bytes
+from quillmere.llm.common import arrow_map, keep, stored, text_bytes
 from quillmere.llm.components import connected_components
 from quillmere.llm.texthash import NOT_SPACE, U, grams, mix, whole_gram, words_of
 
@@ -225,19 +225,17 @@ def candidates(reps: DataFrame, similarity: float, recall: float = RECALL) -> Da
     found = None
     for level in LEVELS:
         nodes = stored(nodes_of(reps, similarity, level, trees_for(similarity, level, recall)), "nodes")
-        size = nodes.groupBy("path").agg(F.count("*").alias("size"), F.min("doc_id").alias("least")).where("size > 1")
-        shared = stored(nodes.join(size, "path"), "shared")
-        dropped(nodes)
-        small = shared.where(F.col("size") <= SMALL).select("path", "doc_id").join(reps, "doc_id")
+        size = stored(nodes.groupBy("path").agg(F.count("*").alias("size"), F.min("doc_id").alias("least")).where("size > 1"), "sizes")
+        small = nodes.join(size.where(F.col("size") <= SMALL).select("path"), "path").join(reps, "doc_id")
         small = by_group(small.select("path", "doc_id", "n_shingles", "sketch"), "path", compare, "a long, b long")
         found = small if found is None else found.unionByName(small)
-        large = shared.where(F.col("size") > SMALL)
+        large = size.where(F.col("size") > SMALL)
         if level == LEVELS[-1]:
-            found = found.unionByName(large.where("doc_id > least").select(F.col("least").alias("a"), F.col("doc_id").alias("b")))
+            found = found.unionByName(nodes.join(large.select("path", "least"), "path").where("doc_id > least").select(F.col("least").alias("a"), F.col("doc_id").alias("b")))
             break
-        hot = stored(large.select("doc_id").distinct(), "hot")
-        if not hot.limit(1).count():
+        if not large.limit(1).count():
             break
+        hot = stored(nodes.join(large.select("path"), "path", "left_semi").select("doc_id").distinct(), "hot")
         reps = reps.join(hot, "doc_id", "left_semi")
     return found.distinct()
 
