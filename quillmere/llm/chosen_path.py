@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmere.llm.common import arrow_map, keep, stored, text_bytes
+from quillmere.llm.common import arrow_map, dropped, keep, stored, text_bytes
 from quillmere.llm.components import connected_components
 from quillmere.llm.texthash import NOT_SPACE, U, grams, mix, whole_gram, words_of
 
@@ -27,6 +27,8 @@ COORDINATES = 64
 #: Levels at which nodes are looked at, one forest for each; documents in a node that is compared exhaustively. Documents of larger
 #: nodes go on to the next forest; in nodes of the last, only documents that are alike are still together.
 LEVELS, SMALL = (3, 7, 12), 256
+#: Trees of a forest that are looked at first; in the others, nodes whose documents are all tied together by then are passed over.
+FIRST_TREES = 4
 #: Recall to which the number of trees is set, for a pair whose similarity is just the threshold.
 RECALL = 0.999999
 #: Documents with candidates are looked up where the texts are (two integers each) if there are at most so many; beyond, texts are shuffled to them.
@@ -187,57 +189,85 @@ def _alike(sk: np.ndarray, n: np.ndarray, similarity: float, least: int, block:
         yield i + a, j + a
 
 
-def nodes_of(reps: DataFrame, similarity: float, level: int, trees: int) -> DataFrame:
-    """path, doc_id: the nodes of a level that each document is in; every document works them out alone."""
-    roots = mix(np.arange(1, trees + 1, dtype=U) * U(0x632BE59BD9B4E019) + U(level))
+def nodes_of(reps: DataFrame, similarity: float, level: int, trees: range) -> DataFrame:
+    """path, doc_id, component: the nodes of a level that each document is in; every document works them out alone."""
+    roots = mix(np.arange(trees.start + 1, trees.stop + 1, dtype=U) * U(0x632BE59BD9B4E019) + U(level))
 
     def run(b: pa.RecordBatch) -> dict:
         sk = _sketch_rows(b.column("sketch"))
-        path, row = branch(np.repeat(roots, len(sk)), np.tile(np.arange(len(sk)), trees), sk, similarity, level)
-        ids = b.column("doc_id").to_numpy()[row]
-        key = np.unique(np.stack([path.view(np.int64), ids], 1), axis=0) if len(ids) else np.zeros((0, 2), np.int64)
-        return {"path": pa.array(key[:, 0]), "doc_id": pa.array(key[:, 1])}
+        path, row = branch(np.repeat(roots, len(sk)), np.tile(np.arange(len(sk)), len(roots)), sk, similarity, level)
+        key = np.unique(np.stack([path.view(np.int64), row], 1), axis=0) if len(row) else np.zeros((0, 2), np.int64)
+        return {"path": pa.array(key[:, 0]), "doc_id": b.column("doc_id").take(pa.array(key[:, 1])), "component": b.column("component").take(pa.array(key[:, 1]))}
 
-    return arrow_map(reps.select("doc_id", "sketch"), run, "path long, doc_id long")
+    return arrow_map(reps.select("doc_id", "component", "sketch"), run, "path long, doc_id long, component long")
 
 
 def candidates(reps: DataFrame, similarity: float, recall: float = RECALL) -> DataFrame:
-    """a, b: candidate links between classes (doc_id, n_shingles, sketch), a star for each group of a node's candidates.
+    """v, component (smallest v reachable) of classes (doc_id, n_shingles, sketch) with candidate links.
 
     A pair meets in some node of each forest with the recall asked for. If a node they share is small, they are compared on
     sketches, which must agree in so many places as those of a pair at the threshold do in all but about one case in 10**7. If all are
     large, both go on to the next forest. In large nodes of the last every document is tied to the smallest.
+
+    Forests are looked at in two parts, and what a part ties together has one component in the next. Nodes of a single
+    component have no link to add and are passed over; other nodes tie components, not documents. So a large group gives
+    a few ties for each document, not one for each node that the document is in.
     """
     least = int(COORDINATES * similarity - 5.2 * math.sqrt(COORDINATES * similarity * (1 - similarity)))
 
     def compare(t: pa.Table):
-        """Each document tied to the smallest of those it is linked with here: many nodes of a group then name the same ties."""
-        t = t.sort_by("doc_id")
-        ids, n = t.column("doc_id").to_numpy(), t.column("n_shingles").to_numpy()
-        links = Links(len(ids))
-        for i, j in _alike(_sketch_rows(t.column("sketch")), n, similarity, least):
-            for x, y in zip(i.tolist(), j.tolist()):
+        """Components linked here, tied to the smallest of them."""
+        own, of = np.unique(t.column("component").to_numpy(), return_inverse=True)
+        links = Links(len(own))
+        for i, j in _alike(_sketch_rows(t.column("sketch")), t.column("n_shingles").to_numpy(), similarity, least):
+            for x, y in np.unique(np.stack([of[i], of[j]], 1)[of[i] != of[j]], axis=0).tolist():
                 links.link(x, y)
-        roots = np.array([links.root(i) for i in range(len(ids))])
-        tied = np.flatnonzero(roots != np.arange(len(ids)))
-        return pa.table({"a": pa.array(ids[roots[tied]]), "b": pa.array(ids[tied])}) if len(tied) else None
+        roots = np.array([links.root(i) for i in range(len(own))])
+        tied = np.flatnonzero(roots != np.arange(len(own)))
+        return pa.table({"a": pa.array(own[roots[tied]]), "b": pa.array(own[tied])}) if len(tied) else None
 
-    found = None
+    groups, rows = None, reps
     for level in LEVELS:
-        nodes = stored(nodes_of(reps, similarity, level, trees_for(similarity, level, recall)), "nodes")
-        size = stored(nodes.groupBy("path").agg(F.count("*").alias("size"), F.min("doc_id").alias("least")).where("size > 1"), "sizes")
-        small = nodes.join(size.where(F.col("size") <= SMALL).select("path"), "path").join(reps, "doc_id")
-        small = by_group(small.select("path", "doc_id", "n_shingles", "sketch"), "path", compare, "a long, b long")
-        found = small if found is None else found.unionByName(small)
-        large = size.where(F.col("size") > SMALL)
+        trees, large_of = trees_for(similarity, level, recall), []
+        for part in (range(min(FIRST_TREES, trees)), range(min(FIRST_TREES, trees), trees)):
+            if not part:
+                continue
+            labelled = _labelled(rows, groups)
+            nodes = stored(nodes_of(labelled, similarity, level, part), "nodes")
+            size = nodes.groupBy("path").agg(F.count("*").alias("size"), F.min("component").alias("least"), F.max("component").alias("most"))
+            size = stored(size.where("size > 1 and least < most"), "sizes")
+            small = nodes.join(size.where(F.col("size") <= SMALL).select("path"), "path").join(rows, "doc_id")
+            ties = by_group(small.select("path", "component", "n_shingles", "sketch"), "path", compare, "a long, b long")
+            large = size.where(F.col("size") > SMALL)
+            if level == LEVELS[-1]:
+                ties = ties.unionByName(nodes.join(large.select("path", "least"), "path").where("component > least").select(F.col("least").alias("a"), F.col("component").alias("b")))
+            else:
+                large_of.append(stored(nodes.join(large.select("path"), "path", "left_semi").select("doc_id").distinct(), "hot"))
+            groups = _merged(groups, connected_components(ties))
+            dropped(nodes), dropped(size)
         if level == LEVELS[-1]:
-            found = found.unionByName(nodes.join(large.select("path", "least"), "path").where("doc_id > least").select(F.col("least").alias("a"), F.col("doc_id").alias("b")))
             break
-        if not large.limit(1).count():
+        hot = large_of[0] if len(large_of) == 1 else large_of[0].unionByName(large_of[1]).distinct()
+        rows = stored(rows.join(hot, "doc_id", "left_semi"), "hot")
+        if not rows.limit(1).count():
             break
-        hot = stored(nodes.join(large.select("path"), "path", "left_semi").select("doc_id").distinct(), "hot")
-        reps = reps.join(hot, "doc_id", "left_semi")
-    return found.distinct()
+    return groups
+
+
+def _labelled(rows: DataFrame, groups: DataFrame | None) -> DataFrame:
+    """rows with their component: that of groups (v, component), or their own id."""
+    if groups is None:
+        return rows.withColumn("component", F.col("doc_id"))
+    return rows.join(groups.withColumnRenamed("v", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+
+
+def _merged(groups: DataFrame | None, new: DataFrame) -> DataFrame:
+    """groups (v, component) after their components were tied by new (v, component)."""
+    if groups is None:
+        return new
+    to = new.select(F.col("v").alias("component"), F.col("component").alias("to"))
+    moved = groups.join(to, "component", "left").select("v", F.coalesce("to", "component").alias("component"))
+    return stored(moved.unionByName(new.join(groups, "v", "left_anti")), "groups")
 
 
 def _verified(t: pa.Table, k: int, similarity: tuple[int, int]):
@@ -315,7 +345,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: tuple[int, int] = (
     classes = stored(some.groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("rep")), "classes")
     reps = some.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "n_shingles", "sketch")
     reps = stored(reps, "reps")
-    groups = connected_components(candidates(reps, similarity[0] / similarity[1], recall))
+    groups = candidates(reps, similarity[0] / similarity[1], recall)
     found = stored(links(docs, groups, k, similarity), "links")
     parts = connected_components(found)
     of_class = classes.join(parts.select(F.col("v").alias("rep"), "component"), "rep", "left").select("k1", "k2", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
