@@ -12,6 +12,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from functools import lru_cache
+from itertools import islice
 
 import ahocorasick
 import numpy as np
@@ -24,6 +25,8 @@ from quillmere.llm.unicode_tables import older, recent
 
 #: Bounds of the memos of a worker: pieces, and pairs of neighbours.
 MEMO_PIECES, MEMO_PAIRS, MEMO_LENGTH = 200_000, 1_000_000, 64
+#: Characters beyond which the pieces of a text are encoded in batches, and pieces in a batch.
+LONG, BATCH_PIECES = 2_000_000, 250_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -115,7 +118,11 @@ class ByteBPE:
     def encode(self, text: str) -> bytes:
         """Ids of the text as little-endian unsigned 32-bit integers."""
         pattern = self.older if recent(text) else self.pattern
-        return b"".join(self._coded(pattern.findall(text[a:b])) for a, b in self._cuts(text))
+        if len(text) <= LONG:
+            return self._coded(pattern.findall(text))
+        # matched over the whole text, as the pattern looks past a piece's end; only one batch of pieces is held
+        found = (m[0] for m in pattern.finditer(text))
+        return b"".join(map(self._coded, iter(lambda: [*islice(found, BATCH_PIECES)], [])))
 
     def _coded(self, pieces: list[str]) -> bytes:
         ids, i = list(map(self._memo.get, pieces)), -1
@@ -124,17 +131,6 @@ class ByteBPE:
             ids[i] = self._memo.get(pieces[i]) or self._packed(pieces[i])
         return b"".join(ids)
 
-    def _cuts(self, text: str, size: int = 1_000_000):
-        """A long text in stretches that begin where a piece does, so that only one stretch's pieces are held."""
-        if len(text) <= 2 * size:
-            return [(0, len(text))]
-        pattern, ends, last = self.older if recent(text) else self.pattern, [0], 0
-        for m in pattern.finditer(text):
-            if m.start() - last >= size:
-                last = m.start()
-                ends.append(last)
-        return zip(ends, [*ends[1:], len(text)])
-
     def decode(self, ids: bytes) -> bytes:
         """Bytes of little-endian unsigned 32-bit ids."""
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))

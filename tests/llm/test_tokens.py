@@ -54,6 +54,14 @@ def test_long_runs(text):
         assert own.count(text) == count(text)
 
 
+@pytest.mark.parametrize("space", ["\n\n", "  ", " \n \t "])
+def test_white_space_anywhere_in_a_long_text(space):
+    text = ("ab " * 333_333)[: 1_000_000 - len(space) - 1] + "x" + space + "Next " * 300_000
+    assert np.frombuffer(coder.encode(text), "<u4").tolist() == other.encode_ordinary(text)
+    many = ("word" + space) * 450_000  # wherever a batch ends
+    assert np.frombuffer(coder.encode(many), "<u4").tolist() == other.encode_ordinary(many)
+
+
 def test_memos_are_bounded(monkeypatch):
     monkeypatch.setattr(byte_bpe, "MEMO_PIECES", 50)
     monkeypatch.setattr(byte_bpe, "MEMO_PAIRS", 50)
