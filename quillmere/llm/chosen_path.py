@@ -1,7 +1,7 @@
 """Near-duplicates by chosen-path set similarity join.
 
 Each document is the set of its word shingles, sketched by minwise values. Documents of equal sets are one class.
-In each of many independent trees a node picks one or two coordinates of the sketch by a hash of its path, the same for
+In each of many trees, independent as each reads minwise values of its own, a node picks one or two of them by a hash of its path, the same for
 all documents in it, and passes each document on to the child named by its value there; so a pair at the
 threshold meets in one child on average, whatever the level, and unlike documents part. A
 document works out its nodes at a level alone; only nodes that hold several documents are looked at:
@@ -24,13 +24,16 @@ from quillmere.llm.components import connected_components
 from quillmere.llm.texthash import NOT_SPACE, U, grams, mix, whole_gram, words_of
 
 COORDINATES = 64
-#: Levels at which nodes are looked at, one forest for each; documents in a node that is compared exhaustively. Documents of larger
+#: Levels at which nodes are looked at, one forest for each, and the minwise values that each tree has for itself; documents in a node that is compared exhaustively. Documents of larger
 #: nodes go on to the next forest; in nodes of the last, only documents that are alike are still together.
-LEVELS, SMALL = (3, 7, 12), 256
+TREE_COORDINATES, SMALL = {3: 8, 7: 16, 12: 16}, 256
+LEVELS = tuple(TREE_COORDINATES)
 #: Trees of a forest that are looked at first; in the others, nodes whose documents are all tied together by then are passed over.
 FIRST_TREES = 4
 #: Recall to which the number of trees is set, for a pair whose similarity is just the threshold.
 RECALL = 0.999999
+#: Chance that the sketches of such a pair agree in too few places to be compared exactly.
+SKETCH_MISS = 1e-7
 #: Documents with candidates are looked up where the texts are (two integers each) if there are at most so many; beyond, texts are shuffled to them.
 BROADCAST_ROWS = 1_000_000
 #: Shingles in a block of the exact comparison.
@@ -58,44 +61,57 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int):
         yield w.lo, w.hi, g, np.searchsorted(d, np.arange(n + 1))
 
 
-def _hash_pairs(seed: int, n: int) -> np.ndarray:
-    return mix(np.arange(1, n + 1, dtype=U) * U(0x9E3779B97F4A7C15) + U(seed)) | U(1)
-
-
-_MULTIPLY = _hash_pairs(17, COORDINATES)
-
-
-def sketches(g: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Minwise values of 16 bits, a row for each set; sets must not be empty."""
-    out = np.empty((len(first) - 1, COORDINATES), np.uint16)
-    for c in range(COORDINATES):
-        x = g * _MULTIPLY[c]
+def sketches(g: np.ndarray, first: np.ndarray, at: int = 0, coordinates: int = COORDINATES) -> np.ndarray:
+    """Minwise values of 16 bits, those from number `at` on, a row for each set; sets must not be empty."""
+    out = np.empty((len(first) - 1, coordinates), np.uint16)
+    multiply = mix(np.arange(at + 1, at + coordinates + 1, dtype=U) * U(0x9E3779B97F4A7C15) + U(17)) | U(1)
+    for c in range(coordinates):
+        x = g * multiply[c]
         x ^= x >> U(29)
         x *= U(0xBF58476D1CE4E5B9)
         out[:, c] = mix(np.minimum.reduceat(x, first[:-1])) >> U(48)
     return out
 
 
+def turns(g: np.ndarray, first: np.ndarray, level: int, trees: int) -> np.ndarray:
+    """The minwise values that the trees of a level's forest read, TREE_COORDINATES for each tree; none is also in the sketch."""
+    return sketches(g, first, COORDINATES + 100_000 * level, trees * TREE_COORDINATES[level])
+
+
+def _agreement(n: int, similarity: float) -> list[float]:
+    """Chances that 0..n of n minwise values of a pair agree."""
+    return [math.comb(n, k) * similarity**k * (1 - similarity) ** (n - k) for k in range(n + 1)]
+
+
 def survival(similarity: float, level: int) -> float:
-    """Chance that a pair of this similarity shares a node of the level, when the threshold is the same."""
-    f, more = 1.0, 1 / similarity - 1
-    for _ in range(level):
-        f = 1 - (1 - similarity * f) * (1 - more * similarity * f)
-    return f
+    """Chance that a pair of this similarity shares a node of the level in a tree, when the threshold is the same: the mean
+    over how many of the tree's minwise values agree, since all its nodes read these."""
+    n, more, mean = TREE_COORDINATES[level], 1 / similarity - 1, 0.0
+    for k, chance in enumerate(_agreement(n, similarity)):
+        f, both, one = 1.0, k * (k - 1) / (n * (n - 1)), 2 * k * (n - k) / (n * (n - 1))
+        for _ in range(level):
+            f = (1 - more) * k / n * f + more * (both * (1 - (1 - f) ** 2) + one * f)
+        mean += chance * f
+    return mean
 
 
 def trees_for(similarity: float, level: int, recall: float = RECALL) -> int:
     return math.ceil(math.log(1 - recall) / math.log(1 - survival(similarity, level)))
 
 
+def least_places(similarity: float) -> int:
+    """In how many places sketches must agree, so that a pair at the threshold is missed with a chance of SKETCH_MISS at most."""
+    return int(np.searchsorted(np.cumsum(_agreement(COORDINATES, similarity)), SKETCH_MISS, "right"))
+
+
 def branch(path: np.ndarray, row: np.ndarray, sketch: np.ndarray, similarity: float, levels: int) -> tuple[np.ndarray, np.ndarray]:
     """(path, row) of the nodes `levels` below: a node has one child for each of one or two coordinates, 1 / similarity on average."""
-    second = U(int((1 / similarity - 1) * 2**64))
+    second, n = U(int((1 / similarity - 1) * 2**64)), sketch.shape[1]
     for _ in range(levels):
         h = mix(path)
         h2 = mix(path ^ U(0x5851F42D4C957F2D))
-        i = (h % U(COORDINATES)).astype(np.int64)
-        j = (i + 1 + ((h >> U(20)) % U(COORDINATES - 1)).astype(np.int64)) % COORDINATES
+        i = (h % U(n)).astype(np.int64)
+        j = (i + 1 + ((h >> U(20)) % U(n - 1)).astype(np.int64)) % n
         two = np.flatnonzero(h2 < second)
         down = lambda at, c: mix((path[at] + U(0x2545F4914F6CDD1D)) * U(0xD6E8FEB86659FD93) + c.astype(U) * U(65537) + sketch[row[at], c].astype(U))
         every = np.arange(len(path))
@@ -103,15 +119,23 @@ def branch(path: np.ndarray, row: np.ndarray, sketch: np.ndarray, similarity: fl
     return path, row
 
 
+def nodes(values: np.ndarray, similarity: float, level: int, trees: range) -> tuple[np.ndarray, np.ndarray]:
+    """(path, row) of the nodes of a level in these trees, for rows of turns()."""
+    roots = mix(np.arange(trees.start + 1, trees.stop + 1, dtype=U) * U(0x632BE59BD9B4E019) + U(level))
+    n, rows = TREE_COORDINATES[level], np.arange(len(values))
+    got = [branch(np.repeat(root, len(rows)), rows, values[:, t * n : (t + 1) * n], similarity, level) for t, root in zip(trees, roots)]
+    return np.concatenate([p for p, _ in got]), np.concatenate([r for _, r in got])
+
+
 def _sketch_rows(col) -> np.ndarray:
     return np.frombuffer(b"".join(col.to_pylist()), np.uint16).reshape(-1, COORDINATES)
 
 
-def sketch_table(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, n_shingles, k1, k2 (hash of the whole set), sketch of each row of (doc_id, text)."""
+def sketch_table(docs: DataFrame, k: int, level: int, trees: int) -> DataFrame:
+    """doc_id, n_shingles, k1, k2 (hash of the whole set), sketch, turns (for so many trees of the level) of each row of (doc_id, text)."""
 
     def run(b: pa.RecordBatch) -> dict:
-        n, keys, sk = np.zeros(b.num_rows, np.int64), np.zeros((b.num_rows, 2), np.int64), [None] * b.num_rows
+        n, keys, sk, own = np.zeros(b.num_rows, np.int64), np.zeros((b.num_rows, 2), np.int64), [None] * b.num_rows, [None] * b.num_rows
         for lo, hi, g, first in shingle_sets(*text_bytes(b.column("text")), k):
             size = np.diff(first)
             n[lo:hi] = size
@@ -119,14 +143,35 @@ def sketch_table(docs: DataFrame, k: int) -> DataFrame:
             if len(some) == 0:
                 continue
             starts = np.append(first[:-1][some], len(g))
-            s = sketches(g, starts)
+            s, v = sketches(g, starts), turns(g, starts, level, trees)
             for i, d in enumerate(some):
-                sk[lo + d] = s[i].tobytes()
+                sk[lo + d], own[lo + d] = s[i].tobytes(), v[i].tobytes()
             for c, by in enumerate((U(0x8CB92BA72F3D8DD7), U(0xC13FA9A902A6328F))):
                 keys[lo + some, c] = np.add.reduceat(mix(g * by), starts[:-1]).view(np.int64)
-        return {"doc_id": b.column("doc_id"), "n_shingles": pa.array(n), "k1": pa.array(keys[:, 0]), "k2": pa.array(keys[:, 1]), "sketch": sk}
+        return {"doc_id": b.column("doc_id"), "n_shingles": pa.array(n), "k1": pa.array(keys[:, 0]), "k2": pa.array(keys[:, 1]), "sketch": sk, "turns": own}
+
+    return arrow_map(docs, run, "doc_id long, n_shingles long, k1 long, k2 long, sketch binary, turns binary")
+
 
-    return arrow_map(docs, run, "doc_id long, n_shingles long, k1 long, k2 long, sketch binary")
+def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """docs whose doc_id is in ids, with the columns of both."""
+    few = ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return docs.join(F.broadcast(ids) if few else ids, "doc_id")
+
+
+def next_turns(rows: DataFrame, docs: DataFrame, k: int, level: int, trees: int) -> DataFrame:
+    """rows with the turns of another level, from the texts of these documents."""
+
+    def run(b: pa.RecordBatch) -> dict:
+        own = [None] * b.num_rows
+        for lo, hi, g, first in shingle_sets(*text_bytes(b.column("text")), k):
+            if len(some := np.flatnonzero(np.diff(first))):
+                for d, v in zip(some, turns(g, np.append(first[:-1][some], len(g)), level, trees)):
+                    own[lo + d] = v.tobytes()
+        return {"doc_id": b.column("doc_id"), "turns": own}
+
+    texts = _texts_of(docs, rows.select("doc_id"))
+    return rows.drop("turns").join(arrow_map(texts, run, "doc_id long, turns binary").where("turns is not null").dropDuplicates(["doc_id"]), "doc_id")
 
 
 def by_group(df: DataFrame, key: str, fn, schema: str, limit_rows: int | None = None) -> DataFrame:
@@ -191,29 +236,30 @@ def _alike(sk: np.ndarray, n: np.ndarray, similarity: float, least: int, block:
 
 def nodes_of(reps: DataFrame, similarity: float, level: int, trees: range) -> DataFrame:
     """path, doc_id, component: the nodes of a level that each document is in; every document works them out alone."""
-    roots = mix(np.arange(trees.start + 1, trees.stop + 1, dtype=U) * U(0x632BE59BD9B4E019) + U(level))
 
-    def run(b: pa.RecordBatch) -> dict:
-        sk = _sketch_rows(b.column("sketch"))
-        path, row = branch(np.repeat(roots, len(sk)), np.tile(np.arange(len(sk)), len(roots)), sk, similarity, level)
+    def run(b: pa.RecordBatch) -> dict | None:
+        if not b.num_rows:
+            return None
+        values = np.frombuffer(b"".join(b.column("turns").to_pylist()), np.uint16).reshape(b.num_rows, -1)
+        path, row = nodes(values, similarity, level, trees)
         key = np.unique(np.stack([path.view(np.int64), row], 1), axis=0) if len(row) else np.zeros((0, 2), np.int64)
         return {"path": pa.array(key[:, 0]), "doc_id": b.column("doc_id").take(pa.array(key[:, 1])), "component": b.column("component").take(pa.array(key[:, 1]))}
 
-    return arrow_map(reps.select("doc_id", "component", "sketch"), run, "path long, doc_id long, component long")
+    return arrow_map(reps.select("doc_id", "component", "turns"), run, "path long, doc_id long, component long")
 
 
-def candidates(reps: DataFrame, similarity: float, recall: float = RECALL) -> DataFrame:
-    """v, component (smallest v reachable) of classes (doc_id, n_shingles, sketch) with candidate links.
+def candidates(reps: DataFrame, docs: DataFrame, k: int, similarity: float, recall: float = RECALL) -> DataFrame:
+    """v, component (smallest v reachable) of classes (doc_id, n_shingles, sketch, turns of the first level) with candidate links.
 
     A pair meets in some node of each forest with the recall asked for. If a node they share is small, they are compared on
-    sketches, which must agree in so many places as those of a pair at the threshold do in all but about one case in 10**7. If all are
-    large, both go on to the next forest. In large nodes of the last every document is tied to the smallest.
+    sketches, which must agree in so many places as those of a pair at the threshold do but for a chance of SKETCH_MISS. If all are
+    large, both go on to the next forest, which reads other minwise values. In large nodes of the last every document is tied to the smallest.
 
     Forests are looked at in two parts, and what a part ties together has one component in the next. Nodes of a single
     component have no link to add and are passed over; other nodes tie components, not documents. So a large group gives
     a few ties for each document, not one for each node that the document is in.
     """
-    least = int(COORDINATES * similarity - 5.2 * math.sqrt(COORDINATES * similarity * (1 - similarity)))
+    least = least_places(similarity)
 
     def compare(t: pa.Table):
         """Components linked here, tied to the smallest of them."""
@@ -251,6 +297,8 @@ def candidates(reps: DataFrame, similarity: float, recall: float = RECALL) -> Da
         rows = stored(rows.join(hot, "doc_id", "left_semi"), "hot")
         if not rows.limit(1).count():
             break
+        level = LEVELS[LEVELS.index(level) + 1]
+        rows = stored(next_turns(rows, docs, k, level, trees_for(similarity, level, recall)), "hot")
     return groups
 
 
@@ -300,7 +348,7 @@ def _verified(t: pa.Table, k: int, similarity: tuple[int, int]):
     else:
         flat, first = np.concatenate(sets), np.append(0, np.cumsum(n))
         sk = sketches(flat, first)
-        least = int(COORDINATES * num / den - 5.2 * math.sqrt(COORDINATES * num / den * (1 - num / den)))
+        least = least_places(num / den)
         for i, j in _alike(sk, n, num / den, least):
             for x, y in zip(i.tolist(), j.tolist()):
                 if not (both and side[x] == side[y]):
@@ -311,8 +359,7 @@ def _verified(t: pa.Table, k: int, similarity: tuple[int, int]):
 def links(docs: DataFrame, groups: DataFrame, k: int, similarity: tuple[int, int]) -> DataFrame:
     """a, b: confirmed links, a forest of each block pair, among the documents of each group (v, component)."""
     groups = groups.withColumnRenamed("v", "doc_id")
-    few = groups.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    texts = docs.join(F.broadcast(groups) if few else groups, "doc_id")
+    texts = _texts_of(docs, groups)
 
     def run(b: pa.RecordBatch) -> dict:
         out, size = [None] * b.num_rows, np.zeros(b.num_rows, np.int64)
@@ -340,12 +387,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: tuple[int, int] = (
     give a row each; other columns are left out; an empty table gives none.
     """
     docs = keep(docs, doc_id=id_col, text=text_col)
-    whole = stored(sketch_table(docs, k), "sketches")
+    share = similarity[0] / similarity[1]
+    whole = stored(sketch_table(docs, k, LEVELS[0], trees_for(share, LEVELS[0], recall)), "sketches")
     some = whole.where("n_shingles > 0 and doc_id is not null")
     classes = stored(some.groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = some.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "n_shingles", "sketch")
+    reps = some.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "n_shingles", "sketch", "turns")
     reps = stored(reps, "reps")
-    groups = candidates(reps, similarity[0] / similarity[1], recall)
+    groups = candidates(reps, docs, k, share, recall)
     found = stored(links(docs, groups, k, similarity), "links")
     parts = connected_components(found)
     of_class = classes.join(parts.select(F.col("v").alias("rep"), "component"), "rep", "left").select("k1", "k2", "n_shingles", F.coalesce("component", "rep").alias("component_id"))

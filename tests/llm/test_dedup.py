@@ -68,6 +68,29 @@ def test_recall_of_trees():
     assert met == 200
 
 
+@pytest.mark.parametrize(("num", "level"), [(80, 3), (80, 7), (80, 12), (85, 3), (85, 7), (85, 12)])
+def test_recall_at_every_level(num, level):
+    pairs, (common, a, b) = 15_000, (8, 1, 1) if num == 80 else (17, 2, 1)
+    x = np.random.default_rng(level).integers(0, 2**62, (pairs, common + a + b)).astype(np.uint64)
+    sides = [x[:, : common + a], np.concatenate([x[:, :common], x[:, common + a :]], 1)]
+    n = chosen_path.trees_for(num / 100, level)
+    values = [chosen_path.turns(s.reshape(-1), np.arange(pairs + 1) * s.shape[1], level, n) for s in sides]
+    met = np.zeros(pairs, bool)
+    for t in range(n):
+        here = [chosen_path.nodes(v, num / 100, level, range(t, t + 1)) for v in values]
+        keys = [chosen_path.mix(path ^ chosen_path.mix(row.astype(np.uint64))) for path, row in here]
+        met[here[0][1][np.isin(keys[0], keys[1])]] = True
+    assert met.all()
+    places = sum(u == v for u, v in zip(*(chosen_path.sketches(s.reshape(-1), np.arange(pairs + 1) * s.shape[1]).T for s in sides)))
+    assert places.min() >= chosen_path.least_places(num / 100)
+
+
+def test_sketches_miss_no_more_than_said():
+    for s in (0.8, 0.85):
+        chance = np.cumsum(chosen_path._agreement(64, s))
+        assert chance[chosen_path.least_places(s) - 1] <= 1e-7 < chance[chosen_path.least_places(s)]
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(100, 160)] + [(5, 160), (7, 8), (9, 9), (3, 7)]
     got = {r.v: r.component for r in connected_components(spark.createDataFrame(chain, "a long, b long")).collect()}
