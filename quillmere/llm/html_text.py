@@ -48,16 +48,18 @@ SAY = {s: i for i, s in enumerate(SAYS)}
 EDGES = {"article": 1, "main": 1, "section": 2, "div": 2, "body": 2, "html": 2, "td": 2, "tr": 2, "table": 2, "p": 3, "h1": 3, "h2": 3, "h3": 3, "h4": 3, "blockquote": 3, "pre": 3}
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|</?[a-zA-Z][^>]*>""", re.S)
-ATTR = re.compile(r"""(class|id|role|hidden|data-y|style|itemprop)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+#: One attribute: its whole name, and its value if there is one.
+ATTR = re.compile(r"""(=?[^\s/>=]++|=)(?:\s*+=\s*+("[^"]*"|'[^']*'|[^\s>]++))?""")
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _close = {t: re.compile(f"</{t}(?=[\\s/>])", re.I) for t in RAW}
 
 
 class Page:
     """Nodes in page order: tag, parent (-1: none), words of class and id, label if the page has labels; pieces of text as
-    (node, text, within a link). A break between blocks is a piece without text."""
+    (node, text, within a link). A break between blocks is a piece without text. Labels (data-y) are read for training only."""
 
-    def __init__(self, source: str):
+    def __init__(self, source: str, labelled: bool = True):
+        self.labelled = labelled
         self.tag, self.parent, self.says, self.never, self.label = ["#page"], [-1], [()], [False], [-1]
         self.pieces: list[tuple[int, str | None, bool]] = []
         stack: list[tuple[str, int, bool]] = [("#page", 0, False)]
@@ -104,12 +106,14 @@ class Page:
             return
         words, hidden, label = [], False, -1
         for a in ATTR.finditer(attrs) if attrs.strip() else ():
-            key, value = a[1].lower(), (a[2] or "").strip("\"'")
+            key, value = a[1].lower(), a[2] or ""
+            if value[:1] in ("'", '"') and value[-1] == value[0]:
+                value = value[1:-1]
             if key == "hidden" or key == "style" and re.search(r"display\s*:\s*none", value):
                 hidden = True
-            elif key == "data-y":
+            elif key == "data-y" and self.labelled:
                 label = int(value)
-            elif key != "style":
+            elif key in ("class", "id", "role", "itemprop"):
                 words += [w.lower() for w in WORDS.findall(value)]
         says = {WORD_SAYS[w] for w in words if w in WORD_SAYS}
         block = name not in INLINE
@@ -372,7 +376,7 @@ def extract(sources: list[str], model: tuple[np.ndarray, np.ndarray], threshold:
     """(main text, its lowest block marginal) of each page."""
     out: list[tuple[str, float]] = []
     for lo in range(0, len(sources), 100):
-        pages = [Page(s) for s in sources[lo : lo + 100]]
+        pages = [Page(s, labelled=False) for s in sources[lo : lo + 100]]
         f = Forest(pages)
         p, _ = f.marginals(*model)
         base = 0

@@ -49,6 +49,23 @@ def test_article_only():
     assert html_text.extract([page], html_text.trained())[0][0] == "A & B First part, with bold words. It goes on, and on. Second part. a < b. Third part, the last one."
 
 
+@pytest.mark.parametrize("attr", ['aria-hidden="false"', 'title="Hidden gems"', 'data-title="A hidden life"', "data-hidden", 'title="display: none"', "data-year=2020", "data-youtube", 'data-y=""', "data-y", 'title="a data-y b"', "alt=hidden", 'data-class="advert menu"'])
+def test_only_whole_attribute_names_count(attr):
+    words = "First part of it, with more words. It goes on, and on, to the end."
+    page = "<html><body><article{}><p{}>" + words + '</p><p>And <a href="/blog/hidden-costs" {}>costs of it</a>, they say. It ends here, at last.</p></article></body></html>'
+    plain = html_text.extract([page.format("", "", "")], html_text.trained())[0][0]
+    assert plain == words + " And costs of it, they say. It ends here, at last."
+    for at in range(3):
+        assert html_text.extract([page.format(*[" " + attr if i == at else "" for i in range(3)])], html_text.trained())[0][0] == plain
+
+
+@pytest.mark.parametrize("attr", ["hidden", 'hidden=""', "HIDDEN", "title=x hidden", 'a="b"hidden', 'style="color: red; display: none"', "style='display:none'"])
+def test_hidden_is_dropped(attr):
+    words = "Part of it, with more words. It goes on, and on, to the end."
+    page = f"<html><body><article>{f'<p>{words}</p>' * 5}<p {attr}>Not shown, not at all.</p><p>{words}</p></article></body></html>"
+    assert html_text.extract([page], html_text.trained())[0][0] == " ".join([words] * 6)
+
+
 @pytest.mark.parametrize("page", ["", "plain", "<", "<p", "<p>a<b>c</p></b></i>", "<script>", "<!-- x", "<td><tr><li>", '<a href="x', "</p></p>", "<p " + 'a="' * 500, "<div>" * 3000, "&#0; &bogus; &#x110000;"])
 def test_broken_pages(page):
     assert isinstance(html_text.extract([page], html_text.trained())[0][0], str)
