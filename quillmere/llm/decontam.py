@@ -45,7 +45,7 @@ def winnowed(g: np.ndarray, at: np.ndarray, doc: np.ndarray, w: int) -> np.ndarr
 class Index:
     """Windows of a block of items by hash; equal windows are one entry with the items that hold it."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int | None, str]]):
         data, offsets = text_bytes(pa.array([t for _, t in items], pa.large_string()))
         entries: dict[tuple[int, bytes], list] = {}
         kept = [np.zeros(0, U)]
@@ -67,7 +67,7 @@ class Index:
         self.by_length: dict[int, tuple[np.ndarray, list]] = {}
         for m in {k[0] for k in entries}:
             hashes = sorted(h for n, h in entries if n == m)
-            self.by_length[m] = np.array(hashes, U), [{t: sorted(i) for t, i in entries[m, h].items()} for h in hashes]
+            self.by_length[m] = np.array(hashes, U), [{t: list(i) for t, i in entries[m, h].items()} for h in hashes]
 
 
 def found(sorted_: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -122,7 +122,7 @@ def union(spans) -> list[tuple[int, int]]:
 def blocks(benchmark: DataFrame, block_bytes: int):
     """The items in blocks of about block_bytes of text; the driver holds one at a time."""
     items, size = [], 0
-    for r in benchmark.where("text is not null and item_id is not null").toLocalIterator():
+    for r in benchmark.where("text is not null").toLocalIterator():
         items.append((r.item_id, r.text))
         size += len(r.text)
         if size >= block_bytes:
@@ -173,8 +173,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """doc_id, n_words, n_hit, spans array<struct<first,end>> (words), items array<string>, contaminated of each row of docs.
 
     A word is hit if it lies in an occurrence of a window; contaminated is n_hit > 0 and 20 * n_hit >= n_words.
-    Null and empty texts have no words; null items and items without words have no window; an empty benchmark
-    hits nothing. Null ids stay; repeated rows give a row each; other columns are left out. A benchmark of
+    Null and empty texts have no words; items without text or words have no window; items without an id
+    hit like others and are one null at the end of items; an empty benchmark hits nothing. Null ids stay; repeated rows give a row each; other columns are left out. A benchmark of
     several blocks is looked up block by block, and each row's hits are merged within its task.
     """
     held = held_blocks(benchmark, item_col, item_text, block_bytes)
@@ -186,7 +186,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         return {
             "doc_id": b.column("doc_id"), "n_words": n, "n_hit": hit,
             "spans": [[{"first": a, "end": e} for a, e in s] for s in joined],
-            "items": [sorted(map(str, i)) for i in items],
+            "items": [[*sorted(str(x) for x in i if x is not None), *[None] * (None in i)] for i in items],
             "contaminated": [h > 0 and 20 * h >= k for h, k in zip(hit, n)],
         }
 
@@ -200,4 +200,4 @@ def digest(found_: DataFrame) -> DataFrame:
 
 def sha_of_items(items) -> str:
     """The hash digest() gives for item ids."""
-    return hashlib.sha256(",".join(sorted(map(str, items))).encode()).hexdigest()
+    return hashlib.sha256(",".join(sorted(str(i) for i in items if i is not None)).encode()).hexdigest()

@@ -184,3 +184,23 @@ def test_contamination(spark, odd, texts, block_bytes):
     assert kept.columns == odd.columns and sorted(repr(r.doc_id) for r in kept.collect()) == sorted(repr(r.doc_id) for r in got if not r.contaminated)
     assert not any(r.n_hit for r in decontam.digest(decontam.contamination(odd, bench.where("false"))).collect())
     assert decontam.contamination(odd.where("false"), bench).count() == 0
+
+
+@pytest.mark.parametrize("block_bytes", [decontam.BLOCK_BYTES, 200])
+def test_items_without_an_id_count_as_in_the_sql(spark, odd, texts, block_bytes):
+    import duckdb
+
+    from quillmere.llm.queries import ORACLE_SQL
+
+    long = [t for _, t in texts if t and len(t.split()) > 60]
+    items = [(None, long[3]), (None, " ".join(long[9].split()[5:40])), (1, " ".join(long[3].split()[5:30])), (2, "edit"), (None, "word"), (None, None)]
+    docs = [(d, t) for d, t in dict(texts).items() if d is not None]
+    con = duckdb.connect()
+    for name, key, rows in (("documents", "doc_id", docs), ("benchmark", "item_id", items)):
+        con.execute(f"CREATE TABLE {name} ({key} BIGINT, text VARCHAR)")
+        con.executemany(f"INSERT INTO {name} VALUES (?, ?)", rows)
+    want = sorted(con.sql(ORACLE_SQL["op8_decontamination"]).fetchall())
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    assert sorted(map(tuple, decontam.digest(decontam.contamination(docs, bench, block_bytes=block_bytes)).collect())) == want
+    assert sorted(r.doc_id for r in decontam.clean(docs, bench, block_bytes=block_bytes).collect()) == [r[0] for r in want if not r[5]]
