@@ -219,7 +219,8 @@ _one_fault("gate_closed_world", "unknown key")
 
 @query(_GATE + "SELECT line FROM errors WHERE slot = 'person_id' AND line % 9 IN (2, 7)")
 def gate_required_null(spark, sf):
-    return _errors(spark, sf).where("slot = 'person_id' and line % 9 in (2, 7)").select("line")
+    null = F.coalesce(F.expr("is_variant_null(try_variant_get(try_parse_json(record), '$.person_id', 'variant'))"), F.lit(False))
+    return _gated(spark, sf).where(null & F.exists("errors", lambda e: e["slot"] == "person_id")).select("line")
 
 
 @query(_GATE + "SELECT line, record FROM g WHERE accepted")

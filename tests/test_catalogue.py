@@ -28,6 +28,12 @@ def test_query_equals_sql(spark, con, name):
     assert mine == theirs
 
 
+def test_null_is_told_from_other_faults_on_any_line(spark, monkeypatch):
+    monkeypatch.setattr(catalogue, "_RECORD", """CASE event_id % 9 WHEN 2 THEN '{"person_id": 5}' WHEN 4 THEN '{"person_id": null}' WHEN 7 THEN '{"zz": null}' ELSE '{"person_id": "x"}' END""")
+    lines = [r.event_id for r in spark.read.parquet(f"{SF}/events.parquet").select("event_id").collect()]
+    assert sorted(r.line for r in catalogue.gate_required_null(spark, SF).collect()) == sorted(x for x in lines if x % 9 == 4)
+
+
 def test_no_python_in_plans(spark):
     for name, f in catalogue.QUERIES.items():
         plan = f(spark, SF)._jdf.queryExecution().executedPlan().toString()
