@@ -1,19 +1,25 @@
-"""Shared plumbing: Arrow maps over (id, text), shared-folder tables, bounded samples."""
+"""Shared plumbing: Arrow maps over (id, text), joins that hot keys don't clog, bounded samples."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Rows an Arrow batch holds at most; keeps a worker's memory at a few MB of ordinary texts.
+from quillmere.sources.shared import dropped, shared_root, stored
+
+__all__ = ["arrow_filter", "arrow_map", "bounded_sample", "crc_of_id", "dropped", "fresh", "keep", "looked_up", "shared_root", "spread_join", "stored", "table", "text_bytes", "text_list"]
+
+#: Rows of a batch that a function sees at most; keeps a worker's memory at a few MB of ordinary texts.
 BATCH_ROWS = 1000
+#: Rows of a few numbers that are broadcast at most, after counting them; beyond, both sides are shuffled.
+BROADCAST_ROWS = 1_000_000
+#: Tasks that the rows of one key are spread over at most.
+BUCKETS = 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +32,14 @@ def keep(df: DataFrame, **cols: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").alias(n) for n, c in cols.items()])
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name like this one that df doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_list(arr) -> list[str]:
     """Texts of an Arrow column; null counts as empty."""
     return [t or "" for t in arr.to_pylist()]
@@ -45,17 +59,25 @@ def text_bytes(arr) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0] : off[-1]], off - off[0]
 
 
-def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema: str) -> DataFrame:
-    """mapInArrow with fn(batch) -> columns. fn is pure, so a lost task can be run again."""
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for at in range(0, b.num_rows, BATCH_ROWS):
+            yield b.slice(at, BATCH_ROWS)
+
+
+def arrow_schema(schema: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
-    arrow = to_arrow_schema(_parse_datatype_string(schema))
+    return to_arrow_schema(_parse_datatype_string(schema))
+
+
+def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema: str) -> DataFrame:
+    """mapInArrow with fn(batch of at most BATCH_ROWS rows) -> columns. fn is pure, so a lost task can be run again."""
+    arrow = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _slices(batches):
             out = fn(b)
             if out is not None:
                 yield pa.RecordBatch.from_arrays([out[f.name] if isinstance(out[f.name], pa.Array) else pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
@@ -65,39 +87,31 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema
 
 def arrow_filter(df: DataFrame, fn: Callable[[pa.RecordBatch], np.ndarray]) -> DataFrame:
     """The rows of df, all columns, where fn(batch) is true: no join, so it doesn't matter what ids there are."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _slices(batches):
             yield b.filter(pa.array(fn(b), pa.bool_()))
 
     return df.mapInArrow(run, df.schema)
 
 
-def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a folder of this session's own where that is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("quillmere.shared.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="quillmere-")
-        spark.conf.set("quillmere.shared.dir", root)
-    return root.rstrip("/")
-
+def spread_join(rows: DataFrame, keyed: DataFrame, on: list[str], by: list[str], how: str = "inner") -> DataFrame:
+    """rows joined with keyed (one row for each key) on the columns `on`, without one task for a key that many rows have.
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """df written as Parquet in the shared folder and read again: cuts lineage and survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_root(spark)}/quillmere/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._quillmere_path = path
-    return out
+    Rows of a key are dealt into BUCKETS by a hash of the columns `by`; keyed is brought to the (key, bucket)
+    pairs that occur, which are found by a distinct that is reduced before its shuffle; then both meet by pair.
+    """
+    bucket = fresh(rows, "bucket")
+    rows = rows.withColumn(bucket, F.pmod(F.xxhash64(*by), F.lit(BUCKETS)).cast("int"))
+    pairs = rows.select(*on, bucket).distinct().join(keyed, on)
+    return rows.join(pairs, [*on, bucket], how).drop(bucket)
 
 
-def dropped(df: DataFrame) -> None:
-    """Deletes what stored() wrote, once nothing reads it any more."""
-    spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(df._quillmere_path)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def looked_up(rows: DataFrame, few: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """rows joined with a stored table few: where it is found to have at most BROADCAST_ROWS rows it is broadcast and rows (texts) stay
+    where they are; beyond, rows are shuffled."""
+    small = few.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return rows.join(F.broadcast(few) if small else few, on, how)
 
 
 def crc_of_id(col="doc_id"):
@@ -105,6 +119,21 @@ def crc_of_id(col="doc_id"):
     return F.crc32(F.col(col).cast("string").cast("binary"))
 
 
-def bounded_sample(rows: DataFrame, id_col: str, bound: int) -> DataFrame:
-    """At most bound rows, those whose ids hash lowest: the same rows however the table is cut."""
-    return rows.orderBy(F.xxhash64(id_col), id_col).limit(bound)
+def bounded_sample(rows: DataFrame, id_col: str, bound: int, within: str | None = None) -> DataFrame:
+    """At most bound rows (of each value of the column `within`, which must not be null): those whose ids hash lowest, the same however
+    the table is cut.
+
+    Rows are counted, not ids, so the bound holds for a table that repeats an id. Of the ids, only the share that
+    holds some 8 times the bound goes on from where they lie; these are ranked, each partition passing on no more than the bound.
+    """
+    hash_, share, rank = (fresh(rows, c) for c in ("hash", "share", "rank"))
+    ids = F.greatest(F.approx_count_distinct(id_col), F.lit(1))
+    if within:
+        shares = stored(rows.groupBy(within).agg((F.lit(8.0 * bound) / ids).alias(share)), "shares")
+        rows_ = looked_up(rows, shares, [within])
+    else:
+        rows_ = rows.withColumn(share, F.lit(8.0 * bound / rows.agg(ids).first()[0]))
+    at = (F.col(hash_).cast("double") + F.lit(2.0**63)) / F.lit(2.0**64)
+    near = rows_.withColumn(hash_, F.xxhash64(id_col)).where(at <= F.col(share))
+    w = Window.partitionBy(within or F.lit(0)).orderBy(hash_, id_col)
+    return near.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= bound).select(*rows.columns)
