@@ -1,13 +1,14 @@
 """Near-duplicates by chosen-path set similarity join.
 
 Each document is the set of its word shingles, sketched by minwise values. Documents of equal sets are one class.
-In each of many trees, independent as each reads minwise values of its own, a node picks one or two of them by a hash of its path, the same for
-all documents in it, and passes each document on to the child named by its value there; so a pair at the
-threshold meets in one child on average, whatever the level, and unlike documents part. A
-document works out its nodes at a level alone; only nodes that hold several documents are looked at:
-small ones are compared exhaustively on sketches, documents of larger ones branch on to levels where only like documents are still together.
-What is linked there are candidates; the groups that these form are then compared
-exactly on the full sets, in blocks if a group is large. No cap drops anything.
+In each of many trees, independent as each reads minwise values of its own, a node picks one or two of them by a hash of its path, the same
+for all documents in it, and passes each document on to the child named by its value there; so a pair at the
+threshold meets in one child on average, whatever the level, and unlike documents part. A document works out its
+nodes at a level alone; only nodes that hold several documents are looked at: small ones are compared exhaustively on
+sketches; in larger ones every document is compared with the first, and if that doesn't tie them all, they branch on
+to levels where only like documents are still together. What is linked there are candidates; the groups that these
+form are then compared exactly on the full sets: within blocks of bounded size, then what is not yet tied to the group's
+largest part with all blocks. Pairs that are already tied are passed over. No cap drops anything.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmere.llm.common import arrow_map, dropped, keep, stored, text_bytes
+from quillmere.llm.common import arrow_map, arrow_schema, dropped, keep, looked_up, spread_join, stored, text_bytes
 from quillmere.llm.components import connected_components
 from quillmere.llm.texthash import NOT_SPACE, U, grams, mix, whole_gram, words_of
 
@@ -34,10 +35,8 @@ FIRST_TREES = 4
 RECALL = 0.999999
 #: Chance that the sketches of such a pair agree in too few places to be compared exactly.
 SKETCH_MISS = 1e-7
-#: Documents with candidates are looked up where the texts are (two integers each) if there are at most so many; beyond, texts are shuffled to them.
-BROADCAST_ROWS = 1_000_000
-#: Shingles in a block of the exact comparison.
-BLOCK_SHINGLES = 1_000_000
+#: Shingles in a block of the exact comparison, and documents; first documents of parts that are compared at once.
+BLOCK_SHINGLES, BLOCK_DOCS, BLOCK_HEADS = 1_000_000, 2000, 1000
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int):
@@ -153,12 +152,6 @@ def sketch_table(docs: DataFrame, k: int, level: int, trees: int) -> DataFrame:
     return arrow_map(docs, run, "doc_id long, n_shingles long, k1 long, k2 long, sketch binary, turns binary")
 
 
-def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """docs whose doc_id is in ids, with the columns of both."""
-    few = ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return docs.join(F.broadcast(ids) if few else ids, "doc_id")
-
-
 def next_turns(rows: DataFrame, docs: DataFrame, k: int, level: int, trees: int) -> DataFrame:
     """rows with the turns of another level, from the texts of these documents."""
 
@@ -170,17 +163,14 @@ def next_turns(rows: DataFrame, docs: DataFrame, k: int, level: int, trees: int)
                     own[lo + d] = v.tobytes()
         return {"doc_id": b.column("doc_id"), "turns": own}
 
-    texts = _texts_of(docs, rows.select("doc_id"))
+    texts = looked_up(docs, stored(rows.select("doc_id"), "ids"), ["doc_id"])
     return rows.drop("turns").join(arrow_map(texts, run, "doc_id long, turns binary").where("turns is not null").dropDuplicates(["doc_id"]), "doc_id")
 
 
-def by_group(df: DataFrame, key: str, fn, schema: str, limit_rows: int | None = None) -> DataFrame:
+def by_group(df: DataFrame, key: str, fn, schema: str) -> DataFrame:
     """fn(key, rows as a pyarrow table) for each group; rows of a key lie together, so a group is cut from the stream of
     batches, without a call for each group. fn gives columns or None."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import _parse_datatype_string
-
-    arrow = to_arrow_schema(_parse_datatype_string(schema))
+    arrow = arrow_schema(schema)
 
     def run(batches):
         rest, out, n = None, [], 0
@@ -272,29 +262,47 @@ def candidates(reps: DataFrame, docs: DataFrame, k: int, similarity: float, reca
         tied = np.flatnonzero(roots != np.arange(len(own)))
         return pa.table({"a": pa.array(own[roots[tied]]), "b": pa.array(own[tied])}) if len(tied) else None
 
+    def like_first(b: pa.RecordBatch) -> dict:
+        """Components of a node's documents that are like its first, tied to that one's."""
+        x, y = b.column("n_shingles").to_numpy(), b.column("first_n").to_numpy()
+        same = (_sketch_rows(b.column("sketch")) == _sketch_rows(b.column("first_sketch"))).sum(1) >= least
+        ok = pa.array(same & (np.minimum(x, y) >= similarity * np.maximum(x, y) - 1e-9))
+        return {"a": b.column("first_component").filter(ok), "b": b.column("component").filter(ok)}
+
     groups, rows = None, reps
     for level in LEVELS:
-        trees, large_of = trees_for(similarity, level, recall), []
+        trees, hot = trees_for(similarity, level, recall), []
         for part in (range(min(FIRST_TREES, trees)), range(min(FIRST_TREES, trees), trees)):
             if not part:
                 continue
-            labelled = _labelled(rows, groups)
-            nodes = stored(nodes_of(labelled, similarity, level, part), "nodes")
-            size = nodes.groupBy("path").agg(F.count("*").alias("size"), F.min("component").alias("least"), F.max("component").alias("most"))
+            nodes = stored(nodes_of(_labelled(rows, groups), similarity, level, part), "nodes")
+            size = nodes.groupBy("path").agg(F.count("*").alias("size"), F.min("component").alias("least"), F.max("component").alias("most"), F.min(F.struct("doc_id", "component")).alias("first"))
             size = stored(size.where("size > 1 and least < most"), "sizes")
-            small = nodes.join(size.where(F.col("size") <= SMALL).select("path"), "path").join(rows, "doc_id")
+            sketch = rows.select("doc_id", "n_shingles", "sketch")
+            small = nodes.join(size.where(F.col("size") <= SMALL).select("path"), "path").join(sketch, "doc_id")
             ties = by_group(small.select("path", "component", "n_shingles", "sketch"), "path", compare, "a long, b long")
             large = size.where(F.col("size") > SMALL)
             if level == LEVELS[-1]:
-                ties = ties.unionByName(nodes.join(large.select("path", "least"), "path").where("component > least").select(F.col("least").alias("a"), F.col("component").alias("b")))
+                in_large = nodes.join(large.select("path", "least"), "path")
+                ties = ties.unionByName(in_large.where("component > least").select(F.col("least").alias("a"), F.col("component").alias("b")))
+                groups = _merged(groups, connected_components(ties))
+            elif not large.limit(1).count():
+                groups = _merged(groups, connected_components(ties))
             else:
-                large_of.append(stored(nodes.join(large.select("path"), "path", "left_semi").select("doc_id").distinct(), "hot"))
-            groups = _merged(groups, connected_components(ties))
-            dropped(nodes), dropped(size)
-        if level == LEVELS[-1]:
+                first = large.select("path", F.col("first.doc_id").alias("doc_id"), F.col("first.component").alias("first_component"))
+                first = first.join(sketch, "doc_id").select("path", "first_component", F.col("n_shingles").alias("first_n"), F.col("sketch").alias("first_sketch"))
+                in_large = stored(spread_join(nodes, stored(first, "firsts"), ["path"], ["doc_id"]), "large")
+                to_first = in_large.where("component <> first_component").join(sketch, "doc_id")
+                groups = _merged(groups, connected_components(ties.unionByName(arrow_map(to_first, like_first, "a long, b long").distinct())))
+                now = stored(_labelled(in_large.select("path", "doc_id"), groups), "large")
+                apart = now.groupBy("path").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("path", F.lit(True).alias("on"))
+                hot.append(stored(spread_join(now, apart, ["path"], ["doc_id"]).select("doc_id").distinct(), "hot"))
+                dropped(in_large)
+            dropped(nodes, size)
+        if not hot:
             break
-        hot = large_of[0] if len(large_of) == 1 else large_of[0].unionByName(large_of[1]).distinct()
-        rows = stored(rows.join(hot, "doc_id", "left_semi"), "hot")
+        more = hot[0] if len(hot) == 1 else hot[0].unionByName(hot[1]).distinct()
+        rows = stored(rows.join(more, "doc_id", "left_semi"), "hot")
         if not rows.limit(1).count():
             break
         level = LEVELS[LEVELS.index(level) + 1]
@@ -318,48 +326,59 @@ def _merged(groups: DataFrame | None, new: DataFrame) -> DataFrame:
     return stored(moved.unionByName(new.join(groups, "v", "left_anti")), "groups")
 
 
-def _verified(t: pa.Table, k: int, similarity: tuple[int, int]):
-    """Links (a, b), a forest, among the documents of a group whose full sets have the similarity num / den.
-
-    A group of one block compares all; of two blocks, pairs across them and (in the pair of a block with itself) within.
-    """
+def _verified(t: pa.Table, similarity: tuple[int, int]):
+    """Links (a, b) among documents whose full sets have the similarity num / den; pairs that are tied already, by label or
+    by links found here, are passed over. If some rows roam (visit from elsewhere), only pairs of a row that does and one that doesn't."""
     num, den = similarity
-    ids, side = t.column("doc_id").to_numpy(), t.column("side").to_numpy()
-    order = np.argsort(ids, kind="stable")
-    ids, side = ids[order], side[order]
-    raw = t.column("shingles").to_pylist()
-    sets = [np.frombuffer(raw[i], U) for i in order]
-    n = np.array([len(s) for s in sets])
-    links, a, b = Links(len(ids)), [], []
-    both = len(set(side.tolist())) > 1
-
-    def confirm(x: int, y: int) -> None:
-        if links.root(x) != links.root(y):
-            common = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
-            if den * common >= num * (n[x] + n[y] - common):
-                links.link(x, y)
-                a.append(ids[x]), b.append(ids[y])
+    t = t.sort_by("doc_id")
+    ids, roams = t.column("doc_id").to_numpy(), t.column("roams").to_numpy(zero_copy_only=False)
+    label = np.unique(t.column("label").to_numpy(), return_inverse=True)[1]
+    sets = [np.frombuffer(x, U) for x in t.column("shingles").to_pylist()]
+    n, a, b, across = np.array([len(x) for x in sets]), [], [], bool(roams.any())
+
+    def confirm(x: int, ys: np.ndarray) -> None:
+        for y in ys[(label[ys] != label[x]) & ((roams[ys] != roams[x]) if across else True)]:
+            if label[y] != label[x] and ids[x] != ids[y]:
+                common = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                if den * common >= num * (n[x] + n[y] - common):
+                    label[label == label[y]] = label[x]
+                    a.append(ids[x]), b.append(ids[y])
 
     if len(ids) <= 12:
         for x in range(len(ids)):
-            for y in range(x + 1, len(ids)):
-                if den * min(n[x], n[y]) >= num * max(n[x], n[y]) and not (both and side[x] == side[y]):
-                    confirm(x, y)
+            ys = np.arange(x + 1, len(ids))
+            confirm(x, ys[den * np.minimum(n[x], n[ys]) >= num * np.maximum(n[x], n[ys])])
     else:
-        flat, first = np.concatenate(sets), np.append(0, np.cumsum(n))
-        sk = sketches(flat, first)
-        least = least_places(num / den)
-        for i, j in _alike(sk, n, num / den, least):
-            for x, y in zip(i.tolist(), j.tolist()):
-                if not (both and side[x] == side[y]):
-                    confirm(x, y)
+        sk = sketches(np.concatenate(sets), np.append(0, np.cumsum(n)))
+        for i, j in _alike(sk, n, num / den, least_places(num / den)):
+            for x, ys in zip(*_runs(i, j)):
+                confirm(x, ys)
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())}) if a else None
 
 
+def _runs(i: np.ndarray, j: np.ndarray) -> tuple[list, list]:
+    """Pairs in order of i as (i, all its j)."""
+    if not len(i):
+        return [], []
+    first = np.flatnonzero(np.append(True, i[1:] != i[:-1]))
+    return i[first].tolist(), np.split(j, first[1:])
+
+
+def _confirmed(rows: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """a, b: links within the groups of rows (pair, doc_id, label, roams, shingles), each group of bounded size."""
+    return by_group(rows.select("pair", "doc_id", "label", "roams", "shingles"), "pair", lambda t: _verified(t, similarity), "a long, b long")
+
+
 def links(docs: DataFrame, groups: DataFrame, k: int, similarity: tuple[int, int]) -> DataFrame:
-    """a, b: confirmed links, a forest of each block pair, among the documents of each group (v, component)."""
+    """a, b: confirmed links, enough of them to tie all documents of each group (v, component) that links tie.
+
+    Groups are cut into blocks, each compared in itself. Of a group of several blocks, the first documents of the blocks' largest
+    parts are compared, then each document outside the group's largest part (as known by then) visits every block, in
+    blocks of such documents, and is compared with those there that have another label. So what a large group of like
+    documents costs grows with its size; only documents that few others are like are compared with all of their group.
+    """
     groups = groups.withColumnRenamed("v", "doc_id")
-    texts = _texts_of(docs, groups)
+    texts = looked_up(docs, groups, ["doc_id"])
 
     def run(b: pa.RecordBatch) -> dict:
         out, size = [None] * b.num_rows, np.zeros(b.num_rows, np.int64)
@@ -370,11 +389,31 @@ def links(docs: DataFrame, groups: DataFrame, k: int, similarity: tuple[int, int
         return {"doc_id": b.column("doc_id"), "component": b.column("component"), "n": pa.array(size), "shingles": out}
 
     sets = stored(arrow_map(texts, run, "doc_id long, component long, n long, shingles binary").dropDuplicates(["doc_id"]), "sets")
-    blocks = sets.groupBy("component").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
-    rows = sets.join(blocks, "component").withColumn("side", F.expr("cast(pmod(xxhash64(doc_id), greatest(blocks, 1)) as int)"))
-    pairs = rows.select("doc_id", "side", "shingles", "component", F.explode(F.expr("sequence(0, greatest(blocks, 1) - 1)")).alias("other"))
-    pairs = pairs.select(F.xxhash64("component", F.least("side", "other"), F.greatest("side", "other")).alias("pair"), "doc_id", "side", "shingles")
-    return by_group(pairs, "pair", lambda t: _verified(t, k, similarity), "a long, b long")
+    blocks = sets.groupBy("component").agg(F.greatest(F.ceil(F.sum("n") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_DOCS), F.lit(1)).cast("int").alias("blocks"))
+    rows = looked_up(sets, stored(blocks, "blocks"), ["component"]).withColumn("side", F.expr("cast(pmod(xxhash64(doc_id), blocks) as int)"))
+    inside = rows.withColumns({"pair": F.xxhash64("component", "side"), "label": F.col("doc_id"), "roams": F.lit(False)})
+    found = stored(_confirmed(inside, similarity), "links")
+    rows = rows.where("blocks > 1")
+    if not rows.limit(1).count():
+        return found
+    rows = stored(rows, "sets")
+    known = lambda ties: rows.drop("label").join(connected_components(ties).select(F.col("v").alias("doc_id"), F.col("component").alias("label")), "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
+    part = known(found).groupBy("component", "blocks", "side", "label").agg(F.count("*").alias("size"))
+    heads = part.groupBy("component", "blocks", "side").agg(F.max_by("label", "size").alias("doc_id")).drop("side").distinct()
+    at = F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("blocks") / BLOCK_HEADS))
+    heads = heads.select("doc_id", F.xxhash64("component", at).alias("pair"), F.col("doc_id").alias("label"), F.lit(False).alias("roams")).dropDuplicates(["doc_id"]).join(rows.select("doc_id", "shingles"), "doc_id")
+    found = stored(found.unionByName(_confirmed(heads, similarity)), "links")
+    labelled = stored(known(found), "sets")
+    part = labelled.groupBy("component", "label").agg(F.count("*").alias("size"))
+    main = part.groupBy("component").agg(F.max_by("label", F.struct("size", "label")).alias("main"), (F.sum("size") - F.max("size")).alias("others"))
+    main = stored(main.where("others > 0"), "parts")
+    labelled = looked_up(labelled, main, ["component"])
+    visits = F.greatest(F.ceil(F.col("others") / BLOCK_DOCS), F.lit(1)).cast("int")  # blocks of visitors
+    pair = F.xxhash64("component", "at", "visit")
+    stay = labelled.withColumns({"at": F.col("side"), "roams": F.lit(False), "visit": F.explode(F.sequence(F.lit(0), visits - 1))})
+    roam = labelled.where("label <> main").withColumns({"visit": F.pmod(F.xxhash64("doc_id", "side"), visits).cast("int"), "roams": F.lit(True), "at": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))})
+    pick = ["doc_id", "label", "roams", "shingles"]
+    return found.unionByName(_confirmed(stay.select(pair.alias("pair"), *pick).unionByName(roam.select(pair.alias("pair"), *pick)), similarity))
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, similarity: tuple[int, int] = (80, 100), id_col: str = "doc_id", text_col: str = "text", recall: float = RECALL) -> DataFrame:
@@ -389,14 +428,16 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: tuple[int, int] = (
     docs = keep(docs, doc_id=id_col, text=text_col)
     share = similarity[0] / similarity[1]
     whole = stored(sketch_table(docs, k, LEVELS[0], trees_for(share, LEVELS[0], recall)), "sketches")
-    some = whole.where("n_shingles > 0 and doc_id is not null")
+    linkable = F.expr("n_shingles > 0 and doc_id is not null")
+    some = whole.where(linkable)
     classes = stored(some.groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("rep")), "classes")
     reps = some.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "n_shingles", "sketch", "turns")
     reps = stored(reps, "reps")
     groups = candidates(reps, docs, k, share, recall)
-    found = stored(links(docs, groups, k, similarity), "links")
-    parts = connected_components(found)
+    parts = connected_components(links(docs, groups, k, similarity))
     of_class = classes.join(parts.select(F.col("v").alias("rep"), "component"), "rep", "left").select("k1", "k2", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
-    out = whole.select("doc_id", "n_shingles", "k1", "k2").join(of_class, ["k1", "k2", "n_shingles"], "left")
-    component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    # copies of one text may be a third of all rows: they are spread; rows that link with nothing take no part in the join
+    linked = spread_join(some.select("doc_id", "n_shingles", "k1", "k2"), stored(of_class, "components"), ["k1", "k2", "n_shingles"], ["doc_id"])
+    alone = whole.where(~linkable).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    out = linked.select("doc_id", "n_shingles", "component_id").unionByName(alone)
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

@@ -2,20 +2,45 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmere.llm.common import dropped, stored
+from quillmere.llm.common import dropped, spread_join, stored
+
+
+def _contracted(edges: DataFrame) -> DataFrame:
+    """Edges (a, b), a < b, of the same components: each part of the table gives only ties of its vertices to the smallest they reach there."""
+
+    def run(batches):
+        up: dict[int, int] = {}
+
+        def root(v: int) -> int:
+            while (u := up.setdefault(v, v)) != v:
+                up[v] = v = up[u]
+            return v
+
+        for t in batches:
+            for a, b in zip(t.column("a").to_pylist(), t.column("b").to_pylist()):
+                a, b = root(a), root(b)
+                up[max(a, b)] = min(a, b)
+        tied = [(root(v), v) for v in list(up)]
+        tied = [(a, b) for a, b in tied if a != b]
+        yield pa.RecordBatch.from_pydict({"a": pa.array([a for a, _ in tied], pa.int64()), "b": pa.array([b for _, b in tied], pa.int64())})
+
+    return edges.mapInArrow(run, "a long, b long")
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """v, component (smallest vertex reachable) for every vertex of edges (a, b); nothing is collected.
 
-    First each vertex is tied to its smallest neighbour m, and its other smaller neighbours to m as well: what links
-    the vertices stays, and the many ties of a large group to the same few small vertices become one each. Then, each round, a vertex takes the least label among its neighbours' and then that label's own label, so labels
-    travel twice as far each round. Rounds end when no label changes. Each is written to the shared folder.
+    Each part of the table is contracted alone. Then each vertex is tied to its smallest neighbour m, and its other smaller neighbours to
+    m as well: what links the vertices stays, and the many ties of a large group to the same few small vertices become one each. Then,
+    each round, a vertex takes the least label among its neighbours' and then that label's own label, so labels
+    travel twice as far each round; vertices of one label are spread over many tasks for that. Rounds end when no label
+    changes. Each is written to the shared folder.
     """
-    down = stored(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "edges")
+    down = stored(_contracted(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b")).distinct(), "edges")
     least = down.groupBy("b").agg(F.min("a").alias("m"))
     aside = down.join(least, (down["b"] == least["b"]) & (down["a"] != least["m"])).select(F.col("m").alias("a"), down["a"].alias("b")).distinct()
     ties = least.select(F.col("m").alias("a"), "b").unionByName(aside)
@@ -23,13 +48,14 @@ def connected_components(edges: DataFrame) -> DataFrame:
     dropped(down)
     label = stored(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("v"), F.least("a", "m").alias("component")), "labels")
     while True:
-        near = both.join(label.select(F.col("v").alias("b"), "component"), "b").groupBy(F.col("a").alias("v")).agg(F.min("component").alias("near"))
-        now = label.join(near, "v").select("v", F.col("component").alias("was"), F.least("component", "near").alias("now"))
+        # the neighbours of a large group's first vertices are many: these, too, are spread
+        theirs = spread_join(both, label.select(F.col("v").alias("b"), "component"), ["b"], ["a"])
+        near = theirs.groupBy(F.col("a").alias("v")).agg(F.min("component").alias("near"))
+        now = stored(label.join(near, "v").select("v", F.col("component").alias("was"), F.least("component", "near").alias("now")), "labels")
+        if not now.where("now < was").limit(1).count():
+            dropped(both, now)
+            return label
         jump = label.select(F.col("v").alias("now"), F.col("component").alias("jump"))
-        nxt = stored(now.join(jump, "now").select("v", "was", F.least("now", "jump").alias("component")), "labels")
-        moved = nxt.where("component < was").limit(1).count()
-        dropped(label)
+        nxt = stored(spread_join(now, jump, ["now"], ["v"]).select("v", F.least("now", "jump").alias("component")), "labels")
+        dropped(label, now)
         label = nxt
-        if not moved:
-            dropped(both)
-            return label.select("v", "component")

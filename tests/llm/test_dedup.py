@@ -6,7 +6,7 @@ import re
 import numpy as np
 import pytest
 
-from quillmere.llm import chosen_path, decontam, line_dedup
+from quillmere.llm import chosen_path, common, decontam, line_dedup
 from quillmere.llm.components import connected_components
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -38,7 +38,8 @@ def groups(texts, k, num):
 def test_near_duplicates(odd, texts, monkeypatch, k, num, small, block):
     monkeypatch.setattr(chosen_path, "SMALL", small)  # larger nodes branch on
     monkeypatch.setattr(chosen_path, "BLOCK_SHINGLES", block)  # groups are compared in blocks
-    monkeypatch.setattr(chosen_path, "BROADCAST_ROWS", block // 300)  # texts are shuffled to the groups
+    monkeypatch.setattr(chosen_path, "BLOCK_DOCS", block // 300)
+    monkeypatch.setattr(common, "BROADCAST_ROWS", block // 300)  # texts are shuffled to the groups
     want = groups(texts, k, num)
     got = chosen_path.near_duplicates(odd, k, (num, 100)).collect()
     assert len(got) == len(texts)
@@ -125,14 +126,50 @@ def test_lines(odd, texts, filter_bytes):
     assert line_dedup.dedup_lines(odd.where("false")).count() == 0
 
 
-def test_line_index_is_reversible(odd):
+def state(index):
+    """Exact table, references, and what the filters say of every key that was ever there."""
+    table = sorted(map(tuple, index.table().collect()))
+    held = {r.shard: line_dedup.CuckooFilter.load(bytes(r.filter)) for r in index.filters.collect()}
+    n = {r.shard: r.n for r in index.filters.collect()}
+    slots = {s: int((f.slots != 0).sum()) + len(f.overflow) for s, f in held.items()}
+    return table, sorted(map(tuple, index.refs.select("doc_id", "h1", "h2").collect())), held, n, slots
+
+
+@pytest.mark.parametrize("shard_keys", [line_dedup.SHARD_KEYS, 8])
+def test_line_index_is_reversible(odd, monkeypatch, shard_keys):
+    monkeypatch.setattr(line_dedup, "SHARD_KEYS", shard_keys)
+    docs = odd.select("doc_id", "text")
+    low, high = docs.where("doc_id < 60"), docs.where("doc_id >= 60")
+    whole, first = line_dedup.LineIndex.of(docs), line_dedup.LineIndex.of(low)
+    assert (whole.shards > 3) == (shard_keys == 8)
+    both = first.insert(high)
+    again = both.insert(low.limit(7)).insert(high)  # documents that it holds count once
+    assert state(again)[:2] == state(both)[:2] == state(whole)[:2]
+    assert state(both.delete(high))[:2] == state(first)[:2]  # insert then delete equals never
+    assert state(both.delete(low))[:2] == state(line_dedup.LineIndex.of(high))[:2]
+    for index in (both, again, both.delete(low)):
+        table, refs_, held, n, slots = state(index)
+        rep = [(h1, h2) for h1, h2, refs, _ in table if refs > 1]
+        assert sum(n.values()) == len(rep) and n == slots  # a fingerprint for each repeated key, none left behind
+        assert all(held[h2 % index.shards].contains(np.array([h1]))[0] for h1, h2 in rep)
+        assert all(refs == sum(r[1:] == (h1, h2) for r in refs_) for h1, h2, refs, _ in table)
+    none = both.delete(docs)
+    assert none.table().count() == none.filters.count() == none.refs.count() == 0
+
+
+def test_lines_against_an_index(odd, texts):
     docs = odd.select("doc_id", "text")
-    table = lambda i: sorted(map(tuple, i.repeated().collect()))
-    first = line_dedup.LineIndex.of(docs.where("doc_id < 60"))
-    both = first.insert(docs.where("doc_id >= 60"))
-    assert table(both) == table(line_dedup.LineIndex.of(docs))
-    assert table(both.delete(docs.where("doc_id >= 60"))) == table(first)
-    assert table(both.delete(docs.where("doc_id < 60"))) == table(line_dedup.LineIndex.of(docs.where("doc_id >= 60")))
+    index = line_dedup.LineIndex.of(docs.where("doc_id >= 40")).insert(docs.where("doc_id < 40"))
+    want = by_lines(texts)
+    for filter_bytes in (line_dedup.FILTER_BYTES, 0):
+        got = line_dedup.dedup_lines(odd.where("doc_id % 2 = 1"), filter_bytes=filter_bytes, index=index).collect()
+        assert got and all((r.n_lines, r.n_dropped, r.kept) == want[r.doc_id] for r in got)
+
+
+def test_names_that_clash(spark):
+    rows = [(1, "the same long line\nx", 1, "a"), (2, "the same long line\ny", 2, "b"), (2, "the same long line\ny", 2, "b")]
+    got = line_dedup.dedup_documents(spark.createDataFrame(rows, "doc_id long, text string, drop long, _of string"))
+    assert got.columns == ["doc_id", "text", "drop", "_of"] and sorted(map(tuple, got.collect())) == [rows[0], (2, "y", 2, "b"), (2, "y", 2, "b")]
 
 
 def test_cuckoo_filter():
@@ -169,25 +206,25 @@ def hits(texts, items):
     return out
 
 
-@pytest.mark.parametrize("block_bytes", [decontam.BLOCK_BYTES, 200])
-def test_contamination(spark, odd, texts, block_bytes):
+@pytest.mark.parametrize("max_held", [decontam.MAX_HELD, 3])
+def test_contamination(spark, odd, texts, max_held):
     long = [t for _, t in texts if t and len(t.split()) > 60]
     items = [(1, None), (2, ""), (3, "..."), (4, "the same"), (10, " ".join(long[3].split()[5:30])), (11, "(" + ", ".join(long[9].split()[10:23]).upper() + ")"), (12, " ".join(long[20].split()[:12])), (13, "edit"), (14, "ab " * 40), (15, " ".join(long[3].split()[5:30]))]
     bench = spark.createDataFrame(items, "item_id long, text string")
     want = hits(texts, items)
-    found = decontam.contamination(odd, bench, block_bytes=block_bytes)
+    found = decontam.contamination(odd, bench, max_held=max_held)
     got = decontam.digest(found).collect()
     assert len(got) == len(texts) and sum(r.contaminated for r in got) > 5
     for r in got:
         assert tuple(r)[1:] == want[r.doc_id], r
-    kept = decontam.clean(odd, bench, block_bytes=block_bytes)
+    kept = decontam.clean(odd, bench, max_held=max_held)
     assert kept.columns == odd.columns and sorted(repr(r.doc_id) for r in kept.collect()) == sorted(repr(r.doc_id) for r in got if not r.contaminated)
     assert not any(r.n_hit for r in decontam.digest(decontam.contamination(odd, bench.where("false"))).collect())
     assert decontam.contamination(odd.where("false"), bench).count() == 0
 
 
-@pytest.mark.parametrize("block_bytes", [decontam.BLOCK_BYTES, 200])
-def test_items_without_an_id_count_as_in_the_sql(spark, odd, texts, block_bytes):
+@pytest.mark.parametrize("max_held", [decontam.MAX_HELD, 3])
+def test_items_without_an_id_count_as_in_the_sql(spark, odd, texts, max_held):
     import duckdb
 
     from quillmere.llm.queries import ORACLE_SQL
@@ -202,5 +239,5 @@ def test_items_without_an_id_count_as_in_the_sql(spark, odd, texts, block_bytes)
     want = sorted(con.sql(ORACLE_SQL["op8_decontamination"]).fetchall())
     bench = spark.createDataFrame(items, "item_id long, text string")
     docs = spark.createDataFrame(docs, "doc_id long, text string")
-    assert sorted(map(tuple, decontam.digest(decontam.contamination(docs, bench, block_bytes=block_bytes)).collect())) == want
-    assert sorted(r.doc_id for r in decontam.clean(docs, bench, block_bytes=block_bytes).collect()) == [r[0] for r in want if not r[5]]
+    assert sorted(map(tuple, decontam.digest(decontam.contamination(docs, bench, max_held=max_held)).collect())) == want
+    assert sorted(r.doc_id for r in decontam.clean(docs, bench, max_held=max_held).collect()) == [r[0] for r in want if not r[5]]
