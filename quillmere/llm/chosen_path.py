@@ -14,6 +14,7 @@ largest part with all blocks. Pairs that are already tied are passed over. No ca
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -245,9 +246,10 @@ def candidates(reps: DataFrame, docs: DataFrame, k: int, similarity: float, reca
     sketches, which must agree in so many places as those of a pair at the threshold do but for a chance of SKETCH_MISS. If all are
     large, both go on to the next forest, which reads other minwise values. In large nodes of the last every document is tied to the smallest.
 
-    Forests are looked at in two parts, and what a part ties together has one component in the next. Nodes of a single
-    component have no link to add and are passed over; other nodes tie components, not documents. So a large group gives
-    a few ties for each document, not one for each node that the document is in.
+    Forests are looked at in two parts, and documents that a part is seen to tie together have one label in the next. Nodes of a single
+    label have no link to add and are passed over; other nodes tie labels, not documents. So a large group gives a few
+    ties for each document, not one for each node that the document is in. Labels are followed for two ties only, which is enough to
+    pass over most; the components of all ties are worked out once, at the end.
     """
     least = least_places(similarity)
 
@@ -269,7 +271,7 @@ def candidates(reps: DataFrame, docs: DataFrame, k: int, similarity: float, reca
         ok = pa.array(same & (np.minimum(x, y) >= similarity * np.maximum(x, y) - 1e-9))
         return {"a": b.column("first_component").filter(ok), "b": b.column("component").filter(ok)}
 
-    groups, rows = None, reps
+    groups, rows, found = None, reps, []
     for level in LEVELS:
         trees, hot = trees_for(similarity, level, recall), []
         for part in (range(min(FIRST_TREES, trees)), range(min(FIRST_TREES, trees), trees)):
@@ -282,22 +284,24 @@ def candidates(reps: DataFrame, docs: DataFrame, k: int, similarity: float, reca
             small = nodes.join(size.where(F.col("size") <= SMALL).select("path"), "path").join(sketch, "doc_id")
             ties = by_group(small.select("path", "component", "n_shingles", "sketch"), "path", compare, "a long, b long")
             large = size.where(F.col("size") > SMALL)
-            if level == LEVELS[-1]:
+            some_large = bool(large.limit(1).count())
+            if some_large and level == LEVELS[-1]:
                 in_large = nodes.join(large.select("path", "least"), "path")
                 ties = ties.unionByName(in_large.where("component > least").select(F.col("least").alias("a"), F.col("component").alias("b")))
-                groups = _merged(groups, connected_components(ties))
-            elif not large.limit(1).count():
-                groups = _merged(groups, connected_components(ties))
-            else:
+            elif some_large:
                 first = large.select("path", F.col("first.doc_id").alias("doc_id"), F.col("first.component").alias("first_component"))
                 first = first.join(sketch, "doc_id").select("path", "first_component", F.col("n_shingles").alias("first_n"), F.col("sketch").alias("first_sketch"))
                 in_large = stored(spread_join(nodes, stored(first, "firsts"), ["path"], ["doc_id"]), "large")
                 to_first = in_large.where("component <> first_component").join(sketch, "doc_id")
-                groups = _merged(groups, connected_components(ties.unionByName(arrow_map(to_first, like_first, "a long, b long").distinct())))
+                ties = ties.unionByName(arrow_map(to_first, like_first, "a long, b long"))
+            found.append(stored(ties.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "ties"))
+            groups = _followed(groups, found[-1])
+            if some_large and level != LEVELS[-1]:
                 now = stored(_labelled(in_large.select("path", "doc_id"), groups), "large")
-                apart = now.groupBy("path").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("path", F.lit(True).alias("on"))
+                apart = now.groupBy("path").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("path")
+                apart = stored(apart, "apart")
                 hot.append(stored(spread_join(now, apart, ["path"], ["doc_id"]).select("doc_id").distinct(), "hot"))
-                dropped(in_large)
+                dropped(in_large, now)
             dropped(nodes, size)
         if not hot:
             break
@@ -307,7 +311,7 @@ def candidates(reps: DataFrame, docs: DataFrame, k: int, similarity: float, reca
             break
         level = LEVELS[LEVELS.index(level) + 1]
         rows = stored(next_turns(rows, docs, k, level, trees_for(similarity, level, recall)), "hot")
-    return groups
+    return connected_components(reduce(DataFrame.unionByName, found))
 
 
 def _labelled(rows: DataFrame, groups: DataFrame | None) -> DataFrame:
@@ -317,12 +321,15 @@ def _labelled(rows: DataFrame, groups: DataFrame | None) -> DataFrame:
     return rows.join(groups.withColumnRenamed("v", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
 
 
-def _merged(groups: DataFrame | None, new: DataFrame) -> DataFrame:
-    """groups (v, component) after their components were tied by new (v, component)."""
+def _followed(groups: DataFrame | None, ties: DataFrame) -> DataFrame:
+    """groups (v, component) after ties (a, b), a < b, of components: each goes to the least it is tied to, and to the least of that."""
+    up = ties.groupBy(F.col("b").alias("component")).agg(F.min("a").alias("to"))
+    on = up.select(F.col("component").alias("to"), F.col("to").alias("next"))
+    up = stored(up.join(on, "to", "left").select("component", F.coalesce("next", "to").alias("to")), "ups")
+    new = up.select(F.col("component").alias("v"), F.col("to").alias("component"))
     if groups is None:
         return new
-    to = new.select(F.col("v").alias("component"), F.col("component").alias("to"))
-    moved = groups.join(to, "component", "left").select("v", F.coalesce("to", "component").alias("component"))
+    moved = groups.join(up, "component", "left").select("v", F.coalesce("to", "component").alias("component"))
     return stored(moved.unionByName(new.join(groups, "v", "left_anti")), "groups")
 
 
@@ -441,3 +448,17 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: tuple[int, int] = (
     alone = whole.where(~linkable).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     out = linked.select("doc_id", "n_shingles", "component_id").unionByName(alone)
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def keep_one(docs: DataFrame, k: int = 5, similarity: tuple[int, int] = (80, 100)) -> DataFrame:
+    """The rows of docs (doc_id, text and others), all columns, of one document of each group that near_duplicates() finds: the
+    smallest id, and one row of it if the table repeats it. Documents without words, and rows without an id, all stay."""
+    found = near_duplicates(docs, k, similarity)
+    rows = stored(found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("rows"), F.bool_and("kept").alias("kept")).where("rows > 1 or not kept"), "gone")
+    # rows of repeated ids are taken out with those that go, and one of each is put back
+    some = lambda test: rows.where(test).select("doc_id")
+    out = looked_up(docs, rows.select("doc_id"), ["doc_id"], "left_anti").select(*docs.columns)
+    if not some("kept").limit(1).count():
+        return out
+    back = looked_up(docs, stored(some("kept"), "repeated"), ["doc_id"], "left_semi").dropDuplicates(["doc_id"])
+    return out.unionByName(back.select(*docs.columns))

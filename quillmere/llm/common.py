@@ -95,12 +95,20 @@ def arrow_filter(df: DataFrame, fn: Callable[[pa.RecordBatch], np.ndarray]) -> D
     return df.mapInArrow(run, df.schema)
 
 
-def spread_join(rows: DataFrame, keyed: DataFrame, on: list[str], by: list[str], how: str = "inner") -> DataFrame:
-    """rows joined with keyed (one row for each key) on the columns `on`, without one task for a key that many rows have.
+def _few(table: DataFrame, bound: int) -> bool:
+    return table.limit(bound + 1).count() <= bound
 
-    Rows of a key are dealt into BUCKETS by a hash of the columns `by`; keyed is brought to the (key, bucket)
-    pairs that occur, which are found by a distinct that is reduced before its shuffle; then both meet by pair.
+
+def spread_join(rows: DataFrame, keyed: DataFrame, on: list[str], by: list[str], how: str = "inner", wide: bool = False) -> DataFrame:
+    """rows joined with keyed (one row for each key; stored, so that it can be counted) on the columns `on`, without one task for a
+    key that many rows have.
+
+    If keyed is found to have few narrow rows it is broadcast, and rows stay where they are. Beyond, or if it is wide, rows of a key are
+    dealt into BUCKETS by a hash of the columns `by`; keyed is brought to the (key, bucket) pairs that
+    occur, which are found by a distinct that is reduced before its shuffle; then both meet by pair.
     """
+    if not wide and _few(keyed, BROADCAST_ROWS // 4):
+        return rows.join(F.broadcast(keyed), on, how)
     bucket = fresh(rows, "bucket")
     rows = rows.withColumn(bucket, F.pmod(F.xxhash64(*by), F.lit(BUCKETS)).cast("int"))
     pairs = rows.select(*on, bucket).distinct().join(keyed, on)
@@ -110,8 +118,7 @@ def spread_join(rows: DataFrame, keyed: DataFrame, on: list[str], by: list[str],
 def looked_up(rows: DataFrame, few: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
     """rows joined with a stored table few: where it is found to have at most BROADCAST_ROWS rows it is broadcast and rows (texts) stay
     where they are; beyond, rows are shuffled."""
-    small = few.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return rows.join(F.broadcast(few) if small else few, on, how)
+    return rows.join(F.broadcast(few) if _few(few, BROADCAST_ROWS) else few, on, how)
 
 
 def crc_of_id(col="doc_id"):
@@ -126,14 +133,12 @@ def bounded_sample(rows: DataFrame, id_col: str, bound: int, within: str | None
     Rows are counted, not ids, so the bound holds for a table that repeats an id. Of the ids, only the share that
     holds some 8 times the bound goes on from where they lie; these are ranked, each partition passing on no more than the bound.
     """
+    if within is None:
+        return rows.orderBy(F.xxhash64(id_col), *[F.col(f"`{c}`") for c in rows.columns]).limit(bound)
     hash_, share, rank = (fresh(rows, c) for c in ("hash", "share", "rank"))
     ids = F.greatest(F.approx_count_distinct(id_col), F.lit(1))
-    if within:
-        shares = stored(rows.groupBy(within).agg((F.lit(8.0 * bound) / ids).alias(share)), "shares")
-        rows_ = looked_up(rows, shares, [within])
-    else:
-        rows_ = rows.withColumn(share, F.lit(8.0 * bound / rows.agg(ids).first()[0]))
+    shares = stored(rows.groupBy(within).agg((F.lit(8.0 * bound) / ids).alias(share)), "shares")
     at = (F.col(hash_).cast("double") + F.lit(2.0**63)) / F.lit(2.0**64)
-    near = rows_.withColumn(hash_, F.xxhash64(id_col)).where(at <= F.col(share))
-    w = Window.partitionBy(within or F.lit(0)).orderBy(hash_, id_col)
+    near = looked_up(rows, shares, [within]).withColumn(hash_, F.xxhash64(id_col)).where(at <= F.col(share))
+    w = Window.partitionBy(within).orderBy(hash_, *[F.col(f"`{c}`") for c in rows.columns])
     return near.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= bound).select(*rows.columns)

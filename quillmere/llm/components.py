@@ -34,26 +34,22 @@ def _contracted(edges: DataFrame) -> DataFrame:
 def connected_components(edges: DataFrame) -> DataFrame:
     """v, component (smallest vertex reachable) for every vertex of edges (a, b); nothing is collected.
 
-    Each part of the table is contracted alone. Then each vertex is tied to its smallest neighbour m, and its other smaller neighbours to
-    m as well: what links the vertices stays, and the many ties of a large group to the same few small vertices become one each. Then,
-    each round, a vertex takes the least label among its neighbours' and then that label's own label, so labels
-    travel twice as far each round; vertices of one label are spread over many tasks for that. Rounds end when no label
+    Each part of the table is contracted alone, dealt anew by the larger vertex, and contracted again: what links the vertices
+    stays, and the many ties of a large group become one for each vertex and part. Then, each round, a vertex takes the
+    least label among its own and its neighbours', and then that label's own label, so labels travel twice as far each
+    round; vertices with many neighbours, and those of one label, are spread over many tasks. Rounds end when no label
     changes. Each is written to the shared folder.
     """
-    down = stored(_contracted(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b")).distinct(), "edges")
-    least = down.groupBy("b").agg(F.min("a").alias("m"))
-    aside = down.join(least, (down["b"] == least["b"]) & (down["a"] != least["m"])).select(F.col("m").alias("a"), down["a"].alias("b")).distinct()
-    ties = least.select(F.col("m").alias("a"), "b").unionByName(aside)
-    both = stored(ties.unionByName(ties.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    dropped(down)
+    once = _contracted(edges.select("a", "b").where("a <> b"))
+    ties = stored(_contracted(once.repartition("b")).distinct(), "edges")
+    both = ties.unionByName(ties.select(F.col("b").alias("a"), F.col("a").alias("b")))
     label = stored(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("v"), F.least("a", "m").alias("component")), "labels")
     while True:
-        # the neighbours of a large group's first vertices are many: these, too, are spread
-        theirs = spread_join(both, label.select(F.col("v").alias("b"), "component"), ["b"], ["a"])
-        near = theirs.groupBy(F.col("a").alias("v")).agg(F.min("component").alias("near"))
-        now = stored(label.join(near, "v").select("v", F.col("component").alias("was"), F.least("component", "near").alias("now")), "labels")
+        theirs = spread_join(both, label.select(F.col("v").alias("b"), "component"), ["b"], ["a"]).select(F.col("a").alias("v"), "component", F.lit(None).cast("long").alias("was"))
+        own = label.select("v", "component", F.col("component").alias("was"))
+        now = stored(theirs.unionByName(own).groupBy("v").agg(F.min("component").alias("now"), F.max("was").alias("was")), "labels")
         if not now.where("now < was").limit(1).count():
-            dropped(both, now)
+            dropped(ties, now)
             return label
         jump = label.select(F.col("v").alias("now"), F.col("component").alias("jump"))
         nxt = stored(spread_join(now, jump, ["now"], ["v"]).select("v", F.least("now", "jump").alias("component")), "labels")

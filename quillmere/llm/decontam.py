@@ -173,7 +173,7 @@ def scanned(docs: DataFrame, asked: DataFrame, max_held: int) -> DataFrame:
         n, near = near_windows(b.column("text"), {}, b.column("own").to_pylist())
         return {"doc_id": b.column("doc_id"), "n_words": n, "near": near, "t1": b.column("t1"), "t2": b.column("t2")}
 
-    with_own = spread_join(docs, stored(hits, "hits"), ["t1", "t2"], ["doc_id"], "left")
+    with_own = spread_join(docs, stored(hits, "hits"), ["t1", "t2"], ["doc_id"], "left", wide=True)
     return stored(arrow_map(with_own, run_own, shape).withColumn("row", F.monotonically_increasing_id()), "windows")
 
 
@@ -230,7 +230,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     windows = stored(benchmark_windows(bench), "items")
     scan = scanned(keep(docs, doc_id=id_col, text=text_col), stored(benchmark_grams(bench), "grams"), max_held)
     spans, lists = _hits(scan, windows)
-    named = spread_join(lists, windows.select("held", "items").dropDuplicates(["held"]), ["held"], ["row"])
+    named = spread_join(lists, windows.select("held", "items").dropDuplicates(["held"]), ["held"], ["row"], wide=True)
     flat = F.flatten(F.collect_list("items"))
     named = named.groupBy("row").agg(F.array_sort(F.array_distinct(flat)).alias("items"))
     out = scan.select("row", "doc_id", "n_words").join(spans, "row", "left").join(named, "row", "left")

@@ -120,7 +120,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     found = stored(candidate_rows(rows), "secrets")  # the row numbers are read back, never made again
     cand = found.where("size(base) + size(free) > 0").select("row", "owner", "repo", F.explode(F.concat("base", "free")).alias("x"))
     cand = cand.select("row", "owner", "repo", F.sha2("x.v", 256).alias("hash"), "x.s", "x.k", "x.e", looks_random(F.col("x.v")).alias("random"))
-    known = spread_join(cand, ownership(cand), ["hash"], ["row", "s", "k"])
+    known = spread_join(cand, stored(ownership(cand), "ownership"), ["hash"], ["row", "s", "k"])
     verdict = F.when((F.col("owners") > max_owners) | (F.col("repositories") > max_repositories), F.lit("example")).when(F.col("random"), F.lit("live")).otherwise(F.lit("plain"))
     one = F.struct("s", "k", "e", verdict.alias("verdict"), "repositories", "owners")
     judged = known.groupBy("row").agg(F.array_sort(F.collect_list(one)).alias("j"))  # a row's own candidates

@@ -39,7 +39,7 @@ def test_near_duplicates(odd, texts, monkeypatch, k, num, small, block):
     monkeypatch.setattr(chosen_path, "SMALL", small)  # larger nodes branch on
     monkeypatch.setattr(chosen_path, "BLOCK_SHINGLES", block)  # groups are compared in blocks
     monkeypatch.setattr(chosen_path, "BLOCK_DOCS", block // 300)
-    monkeypatch.setattr(common, "BROADCAST_ROWS", block // 300)  # texts are shuffled to the groups
+    monkeypatch.setattr(common, "BROADCAST_ROWS", block // 300)  # texts are shuffled to the groups, and hot joins spread
     want = groups(texts, k, num)
     got = chosen_path.near_duplicates(odd, k, (num, 100)).collect()
     assert len(got) == len(texts)
@@ -115,8 +115,10 @@ def by_lines(texts):
 
 
 @pytest.mark.parametrize("filter_bytes", [line_dedup.FILTER_BYTES, 0])
-def test_lines(odd, texts, filter_bytes):
+def test_lines(odd, texts, monkeypatch, filter_bytes):
     want = by_lines(texts)
+    if not filter_bytes:
+        monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
     out = line_dedup.dedup_lines(odd, filter_bytes=filter_bytes)
     got = out.collect()
     assert len(got) == len(texts) and all((r.n_lines, r.n_dropped, r.kept) == want[r.doc_id] for r in got)
@@ -207,7 +209,9 @@ def hits(texts, items):
 
 
 @pytest.mark.parametrize("max_held", [decontam.MAX_HELD, 3])
-def test_contamination(spark, odd, texts, max_held):
+def test_contamination(spark, odd, texts, monkeypatch, max_held):
+    if max_held == 3:
+        monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
     long = [t for _, t in texts if t and len(t.split()) > 60]
     items = [(1, None), (2, ""), (3, "..."), (4, "the same"), (10, " ".join(long[3].split()[5:30])), (11, "(" + ", ".join(long[9].split()[10:23]).upper() + ")"), (12, " ".join(long[20].split()[:12])), (13, "edit"), (14, "ab " * 40), (15, " ".join(long[3].split()[5:30]))]
     bench = spark.createDataFrame(items, "item_id long, text string")
