@@ -2,7 +2,7 @@
 
 Bytes are mapped to Latin-1 so that an Aho-Corasick automaton finds every vocabulary entry
 in a piece. Encoding takes the longest entry at each place; two neighbours are kept only if
-merging their bytes alone gives just these two (memoised), else the shorter entry or the
+merging their bytes alone gives just these two (told from how each is formed at its ends, and memoised), else the shorter entry or the
 place before is tried. A place that led nowhere is never tried again, so the work is linear
 in the piece. A sequence whose neighbours are all compatible is the one that the merges give.
 """
@@ -21,6 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from quillmere.llm.common import arrow_map, keep, text_list
+from quillmere.llm.neighbours import apart, ends
 from quillmere.llm.unicode_tables import older, recent
 
 #: Bounds of the memos of a worker: pieces, and pairs of neighbours.
@@ -48,6 +49,7 @@ class ByteBPE:
         self._find.make_automaton()
         self._shorter: dict[int, tuple[int, int] | None] = {}
         self._fits: dict[tuple, bool] = {}
+        self._shapes: dict[int, tuple[list, list] | None] = {}
         self._memo: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
 
@@ -66,9 +68,20 @@ class ByteBPE:
         if (known := self._fits.get(ids)) is None:
             if len(self._fits) >= MEMO_PAIRS:
                 self._fits.clear()
-            known = self._fits[ids] = self.merged(b"".join(self.bytes_of[i] for i in ids)) == [*ids]
+            shapes = [self._shape(i) for i in ids]
+            known = self._fits[ids] = None not in shapes and (len(ids) == 1 or apart(shapes[0][1], shapes[1][0], self._rank))
         return known
 
+    def _rank(self, a: bytes, b: bytes) -> int | None:
+        return self.ranks.get(a + b)
+
+    def _shape(self, i: int) -> tuple[list, list] | None:
+        """How an entry is formed at its ends; there are no more than entries."""
+        if i not in self._shapes:
+            b = self.bytes_of[i]
+            self._shapes[i] = ends([b[k : k + 1] for k in range(len(b))], self._rank)
+        return self._shapes[i]
+
     def shorter(self, i: int) -> tuple[int, int] | None:
         """The longest entry that is a proper prefix of entry i, and its length."""
         if i not in self._shorter:

@@ -3,22 +3,24 @@
 For a BPE with word ends, the encoding of a word's prefix is the encoding of a shorter prefix
 and one more entry: the one entry, among those that end there, whose neighbour on the left
 stays apart from it when both are merged alone. So one pass over a word gives the last entry
-and the count at each of its prefixes, and truncation or budget questions are look-ups.
+and the count at each of its prefixes. A text is tokenised once: the counts of its words' prefixes, added up along the
+text, are stored as one array, and counts, truncation and budget questions are look-ups in it.
 """
 
 from __future__ import annotations
 
 import json
 import unicodedata
-from bisect import bisect_right
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillmere.llm.common import arrow_map, keep, text_list
+from quillmere.llm.neighbours import apart, ends
 from quillmere.llm.unicode_tables import NEW_CAPITALS, older, recent
 
 #: Bounds of a worker's memos.
@@ -49,9 +51,11 @@ class PrefixCounter:
         special = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
         self.letters = {ord(chr(b)): c for b, c in byte_letters().items()}
-        self._totals: dict[str, int] = {}
-        self._old_totals: dict[str, int] = {}
+        self._counts: dict[str, bytes] = {}
+        self._old_counts: dict[str, bytes] = {}
         self._prefix: dict[str, tuple[str, int]] = {}
+        self._ends: dict[str, int] = {}
+        self._shapes: dict[str, tuple[list, list] | None] = {}
         self._fits: dict[tuple, bool] = {}
 
     def merged(self, symbols: list[str]) -> list[str]:
@@ -77,9 +81,19 @@ class PrefixCounter:
         if (known := self._fits.get(tokens)) is None:
             if len(self._fits) >= MEMO_PAIRS:
                 self._fits.clear()
-            known = self._fits[tokens] = self.merged([s for t in tokens for s in self.symbols(t)]) == [*tokens]
+            shapes = [self._shape(t) for t in tokens]
+            known = self._fits[tokens] = None not in shapes and (len(tokens) == 1 or apart(shapes[0][1], shapes[1][0], self._rank))
         return known
 
+    def _rank(self, a: str, b: str) -> int | None:
+        return self.rank.get((a, b))
+
+    def _shape(self, token: str) -> tuple[list, list] | None:
+        """How a token, one of the vocabulary, is formed at its ends."""
+        if token not in self._shapes:
+            self._shapes[token] = ends(self.symbols(token), self._rank)
+        return self._shapes[token]
+
     def _last(self, word: str, n: int, end: str, before) -> tuple[str, int]:
         """Last entry and count of word[:n] (as a whole word if end), given those of its proper prefixes."""
         for size in range(min(n, self.longest), 0, -1):
@@ -120,44 +134,47 @@ class PrefixCounter:
                         break
         return lambda k: known[word[:k]]
 
-    def total(self, piece: str) -> int:
-        """Tokens of a whole piece. Of known pieces, those not asked for in the last MEMO_WORDS new ones are forgotten."""
-        if (count := self._old_totals.get(piece)) is not None:
-            self._totals[piece] = count
-            return count
-        word = piece.encode().decode("latin-1").translate(self.letters)
-        count = self._last(word, len(word), END, self._inner(word, len(word) - 1))[1]
-        if len(piece) <= MEMO_LENGTH:
-            if len(self._totals) >= MEMO_WORDS:
-                self._old_totals, self._totals = self._totals, {}
-            self._totals[piece] = count
-        return count
-
-    def prefix_totals(self, piece: str) -> list[int]:
+    def _prefix_counts(self, piece: str) -> list[int]:
         """Tokens of piece[:1], piece[:2] ... each taken as a text's last piece.
 
         A cut inside 'll, 're or 've leaves the apostrophe as a piece of its own before the letters.
         """
         if len(piece) > 1 and piece[0] == "'" and piece[1].isalpha():
-            one = self.total("'")
-            cut = [one, *(one + c for c in self.prefix_totals(piece[1:-1]))]
-            return [*cut, self.total(piece)]
+            one = self._prefix_counts("'")[0]
+            cut = [one, *(one + c for c in self._prefix_counts(piece[1:-1]))] if len(piece) > 2 else [one]
+            word = piece.encode().decode("latin-1").translate(self.letters)
+            return [*cut, self._last(word, len(word), END, self._inner(word, len(word) - 1))[1]]
         word = piece.encode().decode("latin-1").translate(self.letters)
         inner, out, at = self._inner(word, len(word) - 1), [], 0
+        known = self._ends if len(word) <= MEMO_LENGTH else {}  # counts of words, which many words begin with
+        if len(known) >= MEMO_PREFIXES:
+            known.clear()
         for ch in piece:
-            at += len(ch.encode())
-            out.append(self._last(word, at, END, inner)[1])
+            at += 1 if ch < "\x80" else len(ch.encode())
+            own = word[:at]
+            if (n := known.get(own)) is None:
+                n = known[own] = self._last(word, at, END, inner)[1]
+            out.append(n)
         return out
 
+    def counts_of(self, piece: str) -> bytes:
+        """_prefix_counts() packed, four bytes each. Of known pieces, those not asked for in the last MEMO_WORDS new ones are forgotten."""
+        packed = self._old_counts.get(piece) or np.array(self._prefix_counts(piece), "<i4").tobytes()
+        if len(piece) <= MEMO_LENGTH:
+            if len(self._counts) >= MEMO_WORDS:
+                self._old_counts, self._counts = self._counts, {}
+            self._counts[piece] = packed
+        return packed
+
     def normal(self, text: str) -> str:
         """NFC and lower case, letter by letter (no final sigma)."""
         text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
         return text.translate(NEW_CAPITALS) if recent(text) else text
 
-    def pieces(self, text: str) -> list[str]:
-        """The pieces, of the normalised text, that merges stay within."""
-        normal = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-        return self.older.findall(normal.translate(NEW_CAPITALS)) if recent(normal) else self.pattern.findall(normal)
+    @lru_cache(maxsize=65536)  # noqa: B019  one counter lives as long as its worker
+    def blank(self, ch: str) -> bool:
+        """Whether a character is in no piece."""
+        return not (self.older if recent(ch) else self.pattern).findall(ch)
 
     def segments(self, text: str):
         """(is special, segment) in order."""
@@ -170,80 +187,81 @@ class PrefixCounter:
         if at < len(text):
             yield False, text[at:]
 
-    def count(self, text: str) -> int:
-        """Tokens of the whole text."""
-        new, n = self.total, 0
-        for special, part in self.segments(text) if self.special and "<|" in text else ((False, text),):
-            if special:
-                n += 1
-                continue
-            pieces = self.pieces(part)
-            counts, i = list(map(self._totals.get, pieces)), -1
-            for _ in range(counts.count(None)):
-                i = counts.index(None, i + 1)
-                counts[i] = self._totals.get(pieces[i]) or new(pieces[i])
-            n += sum(counts)
-        return n
-
-    def cut(self, text: str, budget: int) -> int:
-        """Length, in the normalised text, of the longest prefix of at most budget tokens that ends before or in the piece
-        that exceeds it; reads no further than that piece."""
-        at = n = 0
-        for special, part in self.segments(text):
-            if special:
-                if n == budget:
-                    return at
-                n, at = n + 1, at + len(part)
-                continue
-            part = self.normal(part)
-            for m in (self.older if recent(part) else self.pattern).finditer(part):
-                count = self._totals.get(m[0]) or self.total(m[0])
-                if n + count > budget:
-                    return at + m.start() + max((i + 1 for i, c in enumerate(self.prefix_totals(m[0])) if n + c <= budget), default=0)
-                n += count
-            at += len(part)
-        return at
-
     def prefixes(self, text: str) -> Prefixes:
         return Prefixes(self, text)
 
+    def count(self, text: str) -> int:
+        """Tokens of the whole text."""
+        return self.prefixes(text).total
+
 
 class Prefixes:
-    """The exact token count at every prefix of a normalised text: count(k), total, longest(budget)."""
+    """The exact token count at every prefix of a normalised text, stored: count(k), total, longest(budget).
+
+    Characters that are in no piece (white space) add nothing, so counts holds one number for each character of a piece, in
+    order, and at() its place in the text, which is worked out when first asked for.
+    """
 
     def __init__(self, counter: PrefixCounter, text: str):
-        self.counter, self.starts, self.before, self.pieces, shown, at, n = counter, [], [], [], [], 0, 0
-        for special, part in counter.segments(text):
-            if special:
-                self.starts.append(at), self.before.append(n), self.pieces.append(None)
-                n, at = n + 1, at + len(part)
-                shown.append(part)
-                continue
-            part = counter.normal(part)
-            for m in (counter.older if recent(part) else counter.pattern).finditer(part):
-                self.starts.append(at + m.start()), self.before.append(n), self.pieces.append(m[0])
-                n += counter._totals.get(m[0]) or counter.total(m[0])
-            at += len(part)
+        self.counter = counter
+        parts, shown, n, tail = [], [], 0, ""  # counts of the parts between special strings; the piece that the last part ends with
+        for special, part in counter.segments(text) if counter.special and "<|" in text else ((False, text),):
+            if special:  # one token from its last character on; before that it is text like any other, after the piece before it
+                counts, _ = self._part(counter, tail + counter.normal(part[:-1]))
+                k = len(tail)
+                parts.append(np.append(counts[k:] - (counts[k - 1] if k else 0) + n, n + 1))
+                n, tail = n + 1, ""
+            else:
+                part = counter.normal(part)
+                counts, last = self._part(counter, part)
+                parts.append(counts + n if n else counts)
+                n, tail = n + (int(counts[-1]) if len(counts) else 0), last if part.endswith(last) else ""
             shown.append(part)
-        self.text, self.total = "".join(shown), n
+        self.counts = parts[0] if len(parts) == 1 else np.concatenate(parts) if parts else np.zeros(0, np.int32)
+        self.text, self.total, self._at = shown, n, None
+        self.length = sum(map(len, shown))
+
+    @staticmethod
+    def _part(counter: PrefixCounter, part: str) -> tuple[np.ndarray, str]:
+        """(count at each character of a piece, last piece) of a normalised text without special strings."""
+        pieces = (counter.older if recent(part) else counter.pattern).findall(part)
+        if not pieces:
+            return np.zeros(0, np.int32), ""
+        packed, i = list(map(counter._counts.get, pieces)), -1
+        for _ in range(packed.count(None)):
+            i = packed.index(None, i + 1)
+            packed[i] = counter._counts.get(pieces[i]) or counter.counts_of(pieces[i])
+        counts = np.frombuffer(b"".join(packed), "<i4")
+        size = np.fromiter(map(len, packed), np.int32, len(packed)) >> 2
+        before = np.cumsum(counts[np.cumsum(size) - 1])
+        out = np.empty_like(counts)
+        np.add(counts, np.repeat(np.append(np.int32(0), before[:-1].astype(np.int32)), size), out=out)
+        return out, pieces[-1]
+
+    def at(self) -> np.ndarray:
+        """Places, in the normalised text, of the characters that are in a piece: all but white space."""
+        if self._at is None:
+            points = np.frombuffer("".join(self.text).encode("utf-32-le"), "<u4")
+            blank = points == 32
+            odd = np.flatnonzero((points < 32) | (points >= 127))
+            if len(odd):
+                each, of = np.unique(points[odd], return_inverse=True)
+                blank[odd] = np.array([self.counter.blank(chr(c)) for c in each.tolist()])[of]
+            self._at = np.flatnonzero(~blank)
+        return self._at
 
     def count(self, k: int) -> int:
         """Tokens of the first k characters; a special string counts as one from its last character on."""
-        i = bisect_right(self.starts, k - 1) - 1
-        if k <= 0 or i < 0:
-            return 0
-        piece, inside = self.pieces[i], k - self.starts[i]
-        if piece is None:
-            whole = self.starts[i + 1] if i + 1 < len(self.starts) else len(self.text)
-            end = self.counter.special.match(self.text, self.starts[i]).end()
-            return self.before[i] + 1 if k >= end else self.before[i] + self.counter.count(self.text[self.starts[i] : min(k, whole)])
-        if inside >= len(piece):
-            return self.before[i] + (self.counter._totals.get(piece) or self.counter.total(piece))
-        return self.before[i] + self.counter.prefix_totals(piece)[inside - 1]
+        i = int(np.searchsorted(self.at(), k))
+        return int(self.counts[i - 1]) if i else 0
 
     def longest(self, budget: int) -> int:
-        """Length of the longest prefix of at most budget tokens that ends before or in the piece that exceeds it."""
-        return len(self.text) if self.total <= budget else self.counter.cut(self.text, budget)
+        """Length of the longest prefix of at most budget tokens. A word may have fewer tokens than some prefix of it."""
+        if self.total <= budget:
+            return self.length
+        fits = np.flatnonzero(self.counts <= budget)
+        # up to the next character that counts, so white space after the cut is in
+        return int(self.at()[fits[-1] + 1 if len(fits) else 0])
 
 
 @lru_cache(maxsize=4)
@@ -255,17 +273,18 @@ def counter(path: str) -> PrefixCounter:
 def token_counts(docs: DataFrame, path: str, limit: int = 2048, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit, cut_chars of each row of docs.
 
-    n_tokens counts the whole text; over_limit is n_tokens > limit; cut_chars is the length of the
-    longest prefix (of the normalised text) within the limit, null where the text is within it.
-    Null text counts as empty: 0 bytes, 0 tokens. Null ids stay; repeated rows give a row each;
-    other columns are left out; an empty table gives none.
+    n_tokens counts the whole text; over_limit is n_tokens > limit; cut_chars is the length of the longest prefix (of the
+    normalised text) within the limit, null where the text is within it. Both are read off the counts stored at every prefix, of any
+    text, however long. Null text counts as empty: 0 bytes, 0 tokens. Null ids stay; repeated rows give a row each; other columns are
+    left out; an empty table gives none.
     """
 
     def run(b: pa.RecordBatch) -> dict:
-        c = counter(path)
-        texts = text_list(b.column("text"))
-        n = [c.count(t) for t in texts]
-        return {"doc_id": b.column("doc_id"), "n_bytes": [len(t.encode()) for t in texts], "n_tokens": n, "cut_chars": [c.cut(t, limit) if k > limit else None for t, k in zip(texts, n)]}
+        c, n, cut, size = counter(path), [], [], []
+        for t in text_list(b.column("text")):
+            p = c.prefixes(t)
+            n.append(p.total), cut.append(p.longest(limit) if p.total > limit else None), size.append(len(t.encode()))
+        return {"doc_id": b.column("doc_id"), "n_bytes": size, "n_tokens": n, "cut_chars": cut}
 
     out = arrow_map(keep(docs, doc_id=id_col, text=text_col), run, "doc_id long, n_bytes long, n_tokens long, cut_chars long")
     return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"), "cut_chars")
