@@ -51,6 +51,8 @@ TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-
 #: One attribute: its whole name, and its value if there is one.
 ATTR = re.compile(r"""(=?[^\s/>=]++|=)(?:\s*+=\s*+("[^"]*"|'[^']*'|[^\s>]++))?""")
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+#: Elements nested deeper than this become siblings there, as in browsers; their text stays in its place.
+MAX_DEPTH = 512
 _close = {t: re.compile(f"</{t}(?=[\\s/>])", re.I) for t in RAW}
 
 
@@ -61,10 +63,18 @@ class Page:
     def __init__(self, source: str, labelled: bool = True):
         self.labelled = labelled
         self.tag, self.parent, self.says, self.never, self.label = ["#page"], [-1], [()], [False], [-1]
+        self.depth = [0]
         self.pieces: list[tuple[int, str | None, bool]] = []
         stack: list[tuple[str, int, bool]] = [("#page", 0, False)]
-        at, n = 0, len(source)
+        self._open: dict[str, list[int]] = {}  # places in the stack by name, and of blocks other than paragraphs
+        self._blocks: list[int] = []
+        # beyond the last end of a tag there is none, and nothing to look for
+        at, n, tags_end = 0, len(source), source.rfind(">")
         while at < n:
+            if at > tags_end:
+                open_ = source.find("<!--", at)
+                self._text(stack, source[at : open_ if open_ >= 0 else n])
+                break
             m = TAG.search(source, at)
             to = m.start() if m else n
             if to > at:
@@ -87,7 +97,7 @@ class Page:
                 to = c.start() if c else n
                 at = n if not c else source.find(">", to) + 1 or n
                 if stack[-1][0] == name:
-                    stack.pop()
+                    self._off(stack)
 
     def _text(self, stack, text: str) -> None:
         self.pieces.append((stack[-1][1], text, stack[-1][2]))
@@ -120,40 +130,49 @@ class Page:
         link = stack[-1][2] or name == "a"
         if block:
             self._break(stack)
+        node = stack[-1][1]
         if block or says or hidden:
-            self.tag.append(name), self.parent.append(stack[-1][1]), self.says.append(tuple(says))
-            self.never.append(name in NEVER or hidden), self.label.append(label)
-            stack.append((name, len(self.tag) - 1, link))
-            if block:
-                self._break(stack)
-        else:
-            stack.append((name, stack[-1][1], link))
+            up = node if self.depth[node] < MAX_DEPTH else self.parent[node]
+            # what is never shown stays so for all below it, however deep
+            self.tag.append(name), self.parent.append(up), self.says.append(tuple(says)), self.depth.append(self.depth[up] + 1)
+            self.never.append(name in NEVER or hidden or self.never[node]), self.label.append(label)
+            node = len(self.tag) - 1
+        self._open.setdefault(name, []).append(len(stack))
+        if block and name != "p":
+            self._blocks.append(len(stack))
+        stack.append((name, node, link))
+        if block:
+            self._break(stack)
 
-    def _pop(self, stack) -> None:
-        name, node, _ = stack.pop()
-        if name not in INLINE:
-            self.pieces.append((node, None, False))
+    def _off(self, stack) -> tuple[str, int, bool]:
+        """Takes the last element off the stack."""
+        top = stack.pop()
+        self._open[top[0]].pop()
+        if self._blocks and self._blocks[-1] == len(stack):
+            self._blocks.pop()
+        return top
+
+    def _to(self, stack, place: int) -> None:
+        """Ends the elements from this place in the stack on."""
+        while len(stack) > place:
+            name, node, _ = self._off(stack)
+            if name not in INLINE:
+                self.pieces.append((node, None, False))
+
+    def _last(self, names) -> int:
+        """The last place in the stack of an element of one of these names; 0 if none is open."""
+        return max((self._open[n][-1] for n in names if self._open.get(n)), default=0)
 
     def _close_to(self, stack, names, stops) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i][0] in names:
-                while len(stack) > i:
-                    self._pop(stack)
-                return
-            if stack[i][0] in stops:
-                return
+        """Ends the last element of these names, unless a stop has begun since."""
+        if (i := self._last(names)) and i >= self._last(stops):
+            self._to(stack, i)
 
     def _end(self, stack, name: str) -> None:
         if name == "br":
             self._break(stack)
-            return
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i][0] == name:
-                while len(stack) > i:
-                    self._pop(stack)
-                return
-            if name in INLINE and stack[i][0] not in INLINE and stack[i][0] != "p":
-                return
+        elif (i := self._last((name,))) and not (name in INLINE and self._blocks and self._blocks[-1] > i):
+            self._to(stack, i)
 
 
 N_FEATURES = len(TAGS) + len(SAY) + 5 + 4 + 4 + 3 + 3
@@ -208,11 +227,9 @@ class Forest:
         self.x = np.concatenate([evidence(p) for p in pages]) if pages else np.zeros((0, N_FEATURES), np.float32)
         self.never = np.array([v for p in pages for v in p.never], bool)
         self.edge = np.array([EDGES.get(t, 0) for p in pages for t in p.tag], np.int64)
-        depth = np.zeros(base, np.int64)
-        for i, q in enumerate(parent):
-            if q >= 0:
-                depth[i] = depth[q] + 1
-        self.levels = [np.flatnonzero(depth == d) for d in range(int(depth.max(initial=0)) + 1)]
+        depth = np.array([d for p in pages for d in p.depth], np.int64)
+        by_depth = np.argsort(depth, kind="stable")
+        self.levels = np.split(by_depth, np.searchsorted(depth[by_depth], np.arange(1, int(depth.max(initial=0)) + 1)))
 
     def marginals(self, weights: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(P(content) of each node, P(parent's label, own label) of each node that has a parent)."""
@@ -342,6 +359,9 @@ def labelled_pages(n: int = 500, seed: int = 5) -> list[str]:
         if rng.random() < 0.3:  # a short article, perhaps of odd words without stops
             odd = pick(sentence(), sentence(), (words(1) + " ") * int(rng.integers(2, 90)), " | ".join(words(2) for _ in range(9)), words(int(rng.integers(1, 40))))
             parts = [*parts[: int(rng.integers(0, 2))], pick("<p>", "<p><b>") + odd + pick("", "</p>", f"<br><p>{words(3)}</p>")]
+        if rng.random() < 0.15:  # verse, or a list without marks: many short paragraphs, perhaps the same again
+            own = [words(int(rng.integers(1, 4))) + pick("", ".") for _ in range(int(rng.integers(1, 4)))]
+            parts.insert(int(rng.integers(len(parts) + 1)), "".join(f"<p>{pick(*own)}</p>" for _ in range(int(rng.integers(5, 120)))))
         inside = boiler()
         for _ in range(int(rng.integers(0, 3))):
             parts.insert(int(rng.integers(len(parts) + 1)), inside[int(rng.choice([5, 6, 8, 9, 3]))])
@@ -402,8 +422,9 @@ def extract(sources: list[str], model: tuple[np.ndarray, np.ndarray], threshold:
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", model: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
     """page_id, url, text, n_chars, least_marginal of each row of pages.
 
-    text: blocks of nodes whose content marginal is at least one half, in page order, white space made one space. Null
-    or empty html, and pages without content, give an empty text. Null ids and urls stay; repeated rows give a row each; other
+    text: blocks of nodes whose content marginal is at least one half, in page order, white space made one space; a marginal of
+    exactly one half is content. Null or empty html, and pages without content, give an empty text; pages of any length and depth are
+    read whole. Null ids and urls stay; repeated rows give a row each; other
     columns are left out; an empty table gives none.
     """
     model = model or trained()
