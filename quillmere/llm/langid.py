@@ -2,7 +2,8 @@
 
 Each text is a unit vector of hashed n-gram weights; each language has several centroids
 (spherical k-means of a bounded sample of its texts). The nearest centroid by cosine names the language;
-a text farther from it than nearly all that centroid's own texts is marked as rejected.
+a text farther from it than nearly all that centroid's own texts is marked as rejected
+(in a column of its own, as lang_pred names a learned language for every text with a letter).
 """
 
 from __future__ import annotations
@@ -18,9 +19,9 @@ from quillmere.llm.common import arrow_map, bounded_sample, keep, text_bytes, te
 from quillmere.llm.texthash import LOWER
 
 DIMS, ORDERS = 4096, (1, 2, 3, 4)
-#: The centroids are fitted on at most so many texts a language, of at most so many languages; all are dense rows of DIMS floats on
-#: the driver (16 kB a text).
-MAX_TEXTS, MAX_LANGS, CENTROIDS = 500, 200, 4
+#: The centroids are fitted on at most MAX_TEXTS texts a language, and on fewer, but at least LEAST_TEXTS, if there are so many languages that
+#: all together would be over ALL_TEXTS. These are dense rows of DIMS floats on the driver (16 kB a text).
+MAX_TEXTS, ALL_TEXTS, LEAST_TEXTS, CENTROIDS = 500, 10_000, 8, 4
 #: A text is rejected below this quantile of the cosines of a centroid's own texts, less the margin.
 REJECT_QUANTILE, REJECT_MARGIN = 0.005, 0.1
 
@@ -107,17 +108,11 @@ def fit_centroids(c: np.ndarray, lang: np.ndarray, per_lang: int = CENTROIDS, ro
 
 
 def fit(docs: DataFrame, trainable, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_texts: int = MAX_TEXTS) -> Centroids:
-    """Centroids from the rows where the condition `trainable` (on doc_id) holds and lang isn't null: at most max_texts
-    of each language, those whose ids hash lowest, of at most MAX_LANGS languages (the most frequent)."""
+    """Centroids from the rows where the condition `trainable` (on doc_id) holds and lang isn't null: of every language at most max_texts
+    (see ALL_TEXTS) rows, those whose ids hash lowest. Without such rows nothing is learned."""
     rows = keep(docs, doc_id=id_col, text=text_col, lang=lang_col).where(trainable & F.col("lang").isNotNull())
-    top = [r.lang for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()]
-    ids = None
-    for name in top:
-        one = bounded_sample(rows.where(F.col("lang") == name).select("doc_id", "lang"), "doc_id", max_texts)
-        ids = one if ids is None else ids.unionByName(one)
-    if ids is None:
-        return fit_centroids(np.zeros((0, DIMS), np.float32), np.zeros(0, object))
-    some = rows.select("doc_id", "text").join(F.broadcast(ids.where("doc_id is not null").distinct()), "doc_id")
+    langs = max(1, rows.select("lang").distinct().count())
+    some = bounded_sample(rows, "doc_id", min(max_texts, max(LEAST_TEXTS, ALL_TEXTS // langs)), within="lang")
 
     def run(b: pa.RecordBatch) -> dict:
         c = counts(*text_bytes(b.column("text")))
@@ -139,7 +134,8 @@ def identify(docs: DataFrame, model: Centroids, id_col: str = "doc_id", text_col
     """doc_id, lang_pred, score, rejected of each row of docs.
 
     lang_pred is a learned language, or `und` where the text is null or has no letter (score 0, rejected) or nothing
-    was learned. Null ids stay; repeated rows give a row each; other columns, lang among them, aren't read.
+    was learned. Of centroids that are equally near the first counts, in order of the languages' names. Texts of any length are read
+    whole. Null ids stay; repeated rows give a row each; other columns, lang among them, aren't read; an empty table gives none.
     """
 
     def run(b: pa.RecordBatch) -> dict:

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from quillmere.llm.common import arrow_map, bounded_sample, keep, text_bytes
 
 CHUNK, OVERLAP, WIDTH, STRIDE, FILTERS = 512, 64, 8, 2, 24
-#: The network is fitted on at most so many labelled documents, and for each on at most so many chunks spread over it.
-MAX_LABELLED, TRAIN_CHUNKS = 4000, 12
+#: The network is fitted on at most so many labelled documents, on all chunks of each; chunks that pass through the filters at a time.
+MAX_LABELLED, PASS = 4000, 256
 PAD = 32
 
 
@@ -87,9 +87,12 @@ def fit_net(docs: list[np.ndarray], y: np.ndarray, epochs: int = 6, batch: int =
             c = np.concatenate([docs[j] for j in pick])
             size = np.array([len(docs[j]) for j in pick])
             doc = np.repeat(np.arange(len(pick)), size)
-            r = net.response(c)
-            top = r.argmax(1)
-            m = np.take_along_axis(r, top[:, None], 1)[:, 0] + net.shift
+            tops, best = [], []
+            for at in range(0, len(c), PASS):
+                r = net.response(c[at : at + PASS])
+                tops.append(r.argmax(1))
+                best.append(np.take_along_axis(r, tops[-1][:, None], 1)[:, 0])
+            top, m = np.concatenate(tops), np.concatenate(best) + net.shift
             pool = np.zeros((len(pick), FILTERS), np.float32)
             np.add.at(pool, doc, np.maximum(m, 0))
             pool /= size[:, None]
@@ -114,17 +117,11 @@ def fit(docs: DataFrame, labels: DataFrame, trainable, label_col: str = "quality
     own = keep(labels, doc_id="doc_id", label=label_col).where(trainable & F.expr("doc_id is not null and label in (0, 1)")).groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
     some = keep(docs, doc_id=id_col, text=text_col).join(F.broadcast(bounded_sample(own, "doc_id", bound)), "doc_id")
 
-    def run(b: pa.RecordBatch) -> dict:
-        data, offsets = text_bytes(b.column("text"))
-        out = []
-        for a, e in zip(offsets[:-1], offsets[1:]):
-            s = chunk_starts(int(e - a)) + a
-            s = s[np.linspace(0, len(s) - 1, min(len(s), TRAIN_CHUNKS)).astype(int)]
-            out.append(chunks(data, s, np.full(len(s), e)).tobytes())
-        return {"doc_id": b.column("doc_id"), "label": b.column("label"), "chunks": out}
-
-    got = sorted(arrow_map(some, run, "doc_id long, label int, chunks binary").collect(), key=lambda r: (r.doc_id, r.label, bytes(r.chunks)))
-    return fit_net([np.frombuffer(bytes(r.chunks), np.uint8).reshape(-1, CHUNK) for r in got], np.array([r.label for r in got], float))
+    # bounded again, by rows: a table may repeat an id
+    got = sorted(bounded_sample(some.select("doc_id", "label", "text"), "doc_id", bound).collect(), key=lambda r: (r.doc_id, r.label, r.text or ""))
+    texts = [np.frombuffer((r.text or "").encode(), np.uint8) for r in got]
+    cut = lambda t: chunks(t, (s := chunk_starts(len(t))), np.full(len(s), len(t)))
+    return fit_net([cut(t) for t in texts], np.array([r.label for r in got], float))
 
 
 def score(docs: DataFrame, net: Net, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

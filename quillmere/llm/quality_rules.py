@@ -16,8 +16,8 @@ from quillmere.llm.common import arrow_filter, arrow_map, bounded_sample, keep,
 from quillmere.llm.texthash import NOT_SPACE, U, grams, mix, words_of
 
 MIN_WORDS, WINDOW, MAX_REPEAT_PERCENT = 20, 8, 30
-#: The trees are fitted on at most so many labelled documents.
-MAX_LABELLED = 6000
+#: The trees are fitted on at most so many labelled documents; a document is kept from this probability on.
+MAX_LABELLED, THRESHOLD = 6000, 0.5
 #: Statistics in the order of the columns, with the direction in which the verdict may change: -1 is only against.
 STATISTICS = {
     "log_words": 0, "word_length": 0, "symbols_a_word": -1, "repeated_share": -1, "duplicate_line_share": -1,
@@ -173,7 +173,9 @@ def labelled_statistics(docs: DataFrame, labels: DataFrame, label_col: str, boun
         x = _columns(b)[1]
         return {"doc_id": b.column("doc_id"), "label": b.column("label"), "x": pa.array(list(x), pa.list_(pa.float64()))}
 
-    got = sorted(arrow_map(rows, run, "doc_id long, label int, x array<double>").collect(), key=lambda r: (r.doc_id, r.label, r.x))
+    # bounded again, by rows: a table may repeat an id
+    got = bounded_sample(arrow_map(rows, run, "doc_id long, label int, x array<double>"), "doc_id", bound).collect()
+    got.sort(key=lambda r: (r.doc_id, r.label, r.x))
     return np.array([r.x for r in got], float).reshape(-1, len(STATISTICS)), np.array([r.label for r in got], float)
 
 
@@ -191,7 +193,7 @@ def _verdict(base: dict, x: np.ndarray, trees: Trees, threshold: float) -> tuple
     return failed, p, ~failed & (p >= threshold)
 
 
-def keep_good(docs: DataFrame, trees: Trees, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+def keep_good(docs: DataFrame, trees: Trees, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of docs, all columns, that quality_rules() keeps."""
 
     def run(b: pa.RecordBatch) -> np.ndarray:
@@ -201,12 +203,12 @@ def keep_good(docs: DataFrame, trees: Trees, text_col: str = "text", threshold:
     return arrow_filter(docs, run)
 
 
-def quality_rules(docs: DataFrame, trees: Trees, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+def quality_rules(docs: DataFrame, trees: Trees, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, quality (probability), kept of each row of docs.
 
     base_failed: under 20 words, or more than 30 % of the words in repeated 8-word windows. kept: not base_failed
     and a probability of at least the threshold. Null or empty text has no words and fails; without labels of both
-    kinds the trees keep all. Null ids stay; repeated rows give a row each; other columns are left out.
+    kinds the trees keep all. Null ids stay; repeated rows give a row each; other columns are left out; an empty table gives none.
     """
 
     def run(b: pa.RecordBatch) -> dict:
