@@ -37,7 +37,7 @@ RECALL = 0.999999
 #: Chance that the sketches of such a pair agree in too few places to be compared exactly.
 SKETCH_MISS = 1e-7
 #: Shingles in a block of the exact comparison, and documents; first documents of parts that are compared at once.
-BLOCK_SHINGLES, BLOCK_DOCS, BLOCK_HEADS = 1_000_000, 2000, 1000
+BLOCK_SHINGLES, BLOCK_DOCS, BLOCK_HEADS = 1_000_000, 250, 250
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int):
