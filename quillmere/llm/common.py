@@ -18,6 +18,8 @@ __all__ = ["arrow_filter", "arrow_map", "bounded_sample", "crc_of_id", "dropped"
 BATCH_ROWS = 1000
 #: Rows of a few numbers that are broadcast at most, after counting them; beyond, both sides are shuffled.
 BROADCAST_ROWS = 1_000_000
+#: So many times fewer where the other side would otherwise only be shuffled by key.
+KEYED_SHARE = 10
 #: Tasks that the rows of one key are spread over at most.
 BUCKETS = 1024
 
@@ -107,7 +109,7 @@ def spread_join(rows: DataFrame, keyed: DataFrame, on: list[str], by: list[str],
     dealt into BUCKETS by a hash of the columns `by`; keyed is brought to the (key, bucket) pairs that
     occur, which are found by a distinct that is reduced before its shuffle; then both meet by pair.
     """
-    if not wide and _few(keyed, BROADCAST_ROWS // 4):
+    if not wide and _few(keyed, BROADCAST_ROWS // KEYED_SHARE):
         return rows.join(F.broadcast(keyed), on, how)
     bucket = fresh(rows, "bucket")
     rows = rows.withColumn(bucket, F.pmod(F.xxhash64(*by), F.lit(BUCKETS)).cast("int"))
