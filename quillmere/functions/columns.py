@@ -39,9 +39,24 @@ def first_child(c: Column) -> Column:
     return F.when(one["_nil"] == "true", F.lit(None)).otherwise(trim_or_null(one["_VALUE"]))
 
 
+#: ISO date-times: calendar or week date, compact or with hyphens; perhaps any one character, a time to hours, minutes, seconds or
+#: fractions, compact or with colons; perhaps an offset.
+_ISO = r"^(\d{4})-?(?:(\d{2})-?(\d{2})|W(\d{2})(?:-?([1-7]))?)(?:.(\d{2})(?::?(\d{2})(?::?(\d{2})(?:[.,](\d+))?)?)?)?([Zz]|[+-]\d{2}(?::?\d{2})?)?$"
+
+
 def iso_timestamp(c: Column) -> Column:
-    """ISO text as a timestamp, UTC if it has no offset (the session's zone must be UTC); blank is null; other text fails."""
-    return F.to_timestamp(trim_or_null(c))
+    """ISO text, extended, compact or by week, as a timestamp, UTC if it has no offset (the session's zone must be UTC); blank is null;
+    other text fails."""
+    text = trim_or_null(c)
+    part = lambda i, none: F.coalesce(F.nullif(F.regexp_extract(text, _ISO, i), F.lit("")), F.lit(none))
+    zone = F.regexp_replace(F.upper(part(10, "Z")), r"^([+-]\d{2}):?(\d{2})?$", "$1:$2")
+    zone = F.when(zone.endswith(":"), F.concat(zone, F.lit("00"))).otherwise(zone)
+    time = F.concat(part(6, "00"), F.lit(":"), part(7, "00"), F.lit(":"), part(8, "00"), F.lit("."), F.substring(part(9, "0"), 1, 6), zone)
+    # the Monday of week 1 is that of the week with 4 January
+    monday = F.date_trunc("week", F.to_date(F.concat(part(1, "1970"), F.lit("-01-04")))).cast("date")
+    day = F.date_add(monday, (part(4, "1").cast("int") - 1) * 7 + part(5, "1").cast("int") - 1).cast("string")
+    date = F.when(F.regexp_extract(text, _ISO, 4) != "", day).otherwise(F.concat(part(1, ""), F.lit("-"), part(2, ""), F.lit("-"), part(3, "")))
+    return F.to_timestamp(F.when(text.rlike(_ISO), F.concat(date, F.lit("T"), time)).otherwise(text))
 
 
 def iso_text(ts: Column) -> Column:

@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import hashlib
+import http.client
 import json
 import shutil
 import time
-import urllib.error
-import urllib.request
+import urllib.parse
 from pathlib import Path
 
 from quillmere.plans.contexts import IngestRun
 from quillmere.plans.errors import FetchError
 
-USER_AGENT, CHUNK, DEFAULT_TTL, TIMEOUT = "quillmere/0.1", 65536, 86400, 120
+USER_AGENT, CHUNK, DEFAULT_TTL = "quillmere/0.2", 65536, 86400
+#: Seconds for a connection to be made, and for each answer on it; redirects that are followed.
+CONNECT, READ, REDIRECTS = 10, 120, 10
 
 
 def cache_path(folder: Path, url: str, ext: str) -> Path:
@@ -51,15 +53,30 @@ def _stamp(at: float) -> str:
     return time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime(at))
 
 
-def http_get(url: str, headers: dict[str, str]) -> tuple[int, dict, bytes]:
-    """(status, headers, body); any status is an answer."""
+def http_get(url: str, headers: dict[str, str], to: Path) -> tuple[int, dict]:
+    """(status, headers); any status is an answer. The body of a 200 is streamed to the file `to`."""
     try:
-        with urllib.request.urlopen(urllib.request.Request(url, headers=headers), timeout=TIMEOUT) as r:
-            return r.status, dict(r.headers), r.read()
-    except urllib.error.HTTPError as e:
-        return e.code, dict(e.headers or {}), b""
-    except (urllib.error.URLError, OSError) as e:
+        for _ in range(REDIRECTS):
+            at = urllib.parse.urlsplit(url)
+            kind = http.client.HTTPSConnection if at.scheme == "https" else http.client.HTTPConnection
+            link = kind(at.hostname, at.port, timeout=CONNECT)
+            try:
+                link.connect()
+                link.sock.settimeout(READ)
+                link.request("GET", urllib.parse.urlunsplit(("", "", at.path or "/", at.query, "")), headers=headers)
+                r = link.getresponse()
+                if r.status in (301, 302, 303, 307, 308) and r.getheader("Location"):
+                    url = urllib.parse.urljoin(url, r.getheader("Location"))
+                    continue
+                if r.status == 200:
+                    with open(to, "wb") as f:
+                        shutil.copyfileobj(r, f, CHUNK)
+                return r.status, dict(r.headers)
+            finally:
+                link.close()
+    except (OSError, http.client.HTTPException) as e:
         raise FetchError(f"GET {url} failed: {e}") from e
+    raise FetchError(f"GET {url}: more than {REDIRECTS} redirects")
 
 
 def fetch_raw(run: IngestRun, config: dict, get=http_get) -> tuple[Path, dict]:
@@ -94,14 +111,15 @@ def fetch_raw(run: IngestRun, config: dict, get=http_get) -> tuple[Path, dict]:
         return from_cache()
     known = read_meta(cached) or {}
     asked = {"User-Agent": USER_AGENT} | {h: known[k] for h, k in (("If-None-Match", "etag"), ("If-Modified-Since", "last_modified")) if known.get(k)}
-    status, headers, body = get(url, asked)
+    fresh = cached.with_name(cached.name + ".new")
+    status, headers = get(url, asked, fresh)
     if status == 304 and cached.exists():
         return from_cache()
     if status != 200:
         raise FetchError(f"GET {url} returned {status}")
-    cached.write_bytes(body)
-    copy.write_bytes(body)
+    fresh.replace(cached)
+    shutil.copyfile(cached, copy)
     told = {k.lower(): v for k, v in headers.items()}
-    meta = {"url": url, "fetch_policy": policy, "cache_hit": False, "etag": told.get("etag"), "last_modified": told.get("last-modified"), "sha256": sha256_file(cached), "bytes": len(body), "retrieved_at": time.time()}
+    meta = {"url": url, "fetch_policy": policy, "cache_hit": False, "etag": told.get("etag"), "last_modified": told.get("last-modified"), "sha256": sha256_file(cached), "bytes": cached.stat().st_size, "retrieved_at": time.time()}
     write_meta(cached, meta)
     return copy, meta | {"retrieved_at": _stamp(meta["retrieved_at"])}

@@ -66,12 +66,20 @@ def xml_rows(spark: SparkSession, path: str, row_tag: str, headers: dict[str, st
     return raw.select(*[C.first_child(F.col(f"`{h}`")).alias(s) for h, s in headers.items()])
 
 
-def csv_rows(spark: SparkSession, path: str, headers: dict[str, str]) -> DataFrame:
-    """All cells as text; a header that the file lacks gives nulls; other columns are dropped."""
-    raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+def renamed(raw: DataFrame, headers: dict[str, str]) -> DataFrame:
+    """The columns that headers name, as slots; a header that raw lacks gives nulls; other columns are dropped."""
     return raw.select(*[(F.col(f"`{h}`") if h in raw.columns else F.lit(None).cast("string")).alias(s) for h, s in headers.items()])
 
 
+def csv_rows(spark: SparkSession, path: str, headers: dict[str, str]) -> DataFrame:
+    """All cells as text. A file is read in as many tasks as it has blocks, unless a record goes over several lines: that is so only if
+    some line has an odd number of quotes, which one pass over the lines tells."""
+    odd = F.length(F.regexp_replace("value", '[^"]', "")) % 2 == 1
+    several = bool(spark.read.text(path).where(odd).limit(1).count())
+    raw = spark.read.option("header", True).option("multiLine", several).option("escape", '"').csv(path)
+    return renamed(raw, headers)
+
+
 def typed(rows: DataFrame, schema: RowSchema) -> DataFrame:
     """Slots in schema order: ids and texts trimmed (blank is null), date-times as UTC text; a bad date-time fails the job."""
     of = lambda s: C.iso_text(C.iso_timestamp(F.col(s.name))) if s.range == "datetime" else C.trim_or_null(F.col(s.name))
