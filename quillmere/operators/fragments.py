@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from quillmere.functions import columns as C
 
 #: All fields a fragment may have, in output order; those that are null aren't written.
-FIELDS = ("@type", "bronze_reference", "id", "name", "start_date", "end_date", "amount", "received", "subject", "rel_type", "predicate", "object")
+FIELDS = ("@type", "bronze_reference", "id", "name", "start_date", "end_date", "amount", "received", "form_id", "subject", "rel_type", "predicate", "object")
 
 
 def fragment(kind: str, reference: Column, **fields: Column) -> Column:
@@ -68,7 +68,7 @@ class Members(Materializer):
 
 
 class Contributions(Materializer):
-    """Recipient, party, district and the contribution itself (extension)."""
+    """Recipient, giver, party, district, the contribution itself and the edges that tie them (extension)."""
 
     needs = ("recipient_id",)
 
@@ -77,14 +77,19 @@ class Contributions(Materializer):
         kind = F.when(F.lower("contributor_type").rlike("individual"), F.lit("Person")).otherwise(F.lit("Organization"))
         giver, party, place = C.slug(F.col("contributor_name")), C.slug(F.col("political_party_of_recipient")), C.slug(F.col("electoral_district"))
         recipient = F.concat(F.lit("gckg:Recipient:"), rid)
-        who = fragment("Person", ref, id=F.concat(F.lit("gckg:contributor/"), giver), name=F.col("contributor_name"))
+        giver_id, party_id, place_id = F.concat(F.lit("gckg:contributor/"), giver), F.concat(F.lit("gckg:party/commons/"), party), F.concat(F.lit("gckg:district/commons/"), place)
+        who = fragment("Person", ref, id=giver_id, name=F.col("contributor_name"))
         event = F.concat(F.lit("gckg:contribution/"), F.lit(self.run_id), F.lit("/"), line.cast("string"))
         out = [
             fragment("Person", ref, id=recipient, name=F.col("recipient_name")),
-            F.when(giver.isNotNull(), who.withField("@type", kind)),
-            F.when(party.isNotNull(), fragment("PoliticalParty", ref, id=F.concat(F.lit("gckg:party/commons/"), party), name=F.col("political_party_of_recipient"))),
-            F.when(place.isNotNull(), fragment("FederalElectoralDistrict", ref, id=F.concat(F.lit("gckg:district/commons/"), place), name=F.col("electoral_district"))),
-            fragment("Contribution", ref, id=event, amount=F.col("monetary_amount"), received=F.col("contribution_received_date")),
+            F.when(giver.isNotNull(), who.withField("`@type`", kind)),
+            F.when(party.isNotNull(), fragment("PoliticalParty", ref, id=party_id, name=F.col("political_party_of_recipient"))),
+            F.when(place.isNotNull(), fragment("FederalElectoralDistrict", ref, id=place_id, name=F.col("electoral_district"))),
+            fragment("Contribution", ref, id=event, amount=F.col("monetary_amount"), received=F.col("contribution_received_date"), form_id=F.col("form_id")),
+            F.when(giver.isNotNull(), fragment("AgentMadeContribution", ref, subject=giver_id, predicate=F.lit("made"), object=event)),
+            fragment("ContributionReceivedByPerson", ref, subject=event, predicate=F.lit("receivedBy"), object=recipient),
+            F.when(party.isNotNull(), fragment("PersonAssociatedWithPoliticalParty", ref, subject=recipient, predicate=F.lit("associatedWith"), object=party_id)),
+            F.when(place.isNotNull(), fragment("ContributionInFederalElectoralDistrict", ref, subject=event, predicate=F.lit("inDistrict"), object=place_id)),
         ]
         return F.filter(F.array(*out), lambda x: x.isNotNull())
 

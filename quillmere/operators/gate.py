@@ -30,10 +30,9 @@ def once(df: DataFrame, **values: Column) -> DataFrame:
 def with_errors(records: DataFrame, schema: RowSchema, strict_json: bool = True) -> DataFrame:
     """records (with a JSON text `record`) and errors, array<struct<message,severity,slot>>: slots in schema order, then unknown keys in order.
 
-    Missing keys, nulls and wrong types are told apart. A record that isn't an object lacks every key. Text that isn't JSON
+    The session must read repeated keys as the last of them (spark.sql.variant.allowDuplicateKeys). Missing keys, nulls and wrong types are told apart. A record that isn't an object lacks every key. Text that isn't JSON
     fails the job (or, without strict_json, is an error of its own). Each record is parsed once.
     """
-    records.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     v, names = F.col("_v"), F.array(*[F.lit(n) for n in schema.names])
     parsed = once(records, _v=F.try_parse_json("record"), _keys=F.json_object_keys("record"))
     value = [F.try_variant_get(v, f"$.{s.name}", "variant") for s in schema.slots]
@@ -63,8 +62,8 @@ def gate(records: DataFrame, schema: RowSchema, fail_fast: bool = False, strict_
     if not fail_fast:
         return out
     out = stored(out, "gated")  # read twice: for the first rejected line, and up to it
-    first = out.where("not accepted").agg(F.min("line").alias("first"))  # one row
-    return out.join(F.broadcast(first)).where("first is null or line <= first").drop("first").withColumn("errors", F.slice("errors", 1, 1))
+    first = out.where("not accepted").agg(F.min("line")).first()[0]  # one number
+    return (out if first is None else out.where(F.col("line") <= first)).withColumn("errors", F.slice("errors", 1, 1))
 
 
 def summary(gated: DataFrame) -> DataFrame:

@@ -23,16 +23,38 @@ def merge(*parts: DataFrame) -> DataFrame:
 
 
 def dedupe_nodes(nodes: DataFrame) -> DataFrame:
-    """id, @type, name, mentions: one row for each id, the name of the first by (name, type); reduced before the shuffle."""
-    return nodes.groupBy("id").agg(F.min(F.struct("name", "@type")).alias("m"), F.count("*").alias("mentions")).select("id", F.col("m.`@type`").alias("@type"), F.col("m.name").alias("name"), "mentions")
-
-
-def resolve(nodes: DataFrame, key: str) -> DataFrame:
-    """id, canonical_id: the smallest id among the nodes of the same key; a null key stands alone.
-
-    The smallest id of each key is aggregated before the join, so a key that many rows have isn't gathered."""
-    least = nodes.where(F.col(key).isNotNull()).groupBy(key).agg(F.min("id").alias("least"))
-    return nodes.join(least, key, "left").select("id", F.coalesce("least", "id").alias("canonical_id"))
+    """id, @type, name, mentions, and source where nodes have one (the smallest): one row for each id, the name of the first by (name,
+    type); reduced before the shuffle."""
+    more = [F.min("source").alias("source")] if "source" in nodes.columns else []
+    out = nodes.groupBy("id").agg(F.min(F.struct("name", "@type")).alias("m"), F.count("*").alias("mentions"), *more)
+    return out.select("id", F.col("m.`@type`").alias("@type"), F.col("m.name").alias("name"), "mentions", *(["source"] if more else []))
+
+
+def resolve(keyed: DataFrame) -> DataFrame:
+    """id, canonical_id of every id of keyed (id, source, key; a node may have several keys, or none: null).
+
+    Nodes of different sources that share a key are one, named by the smallest id. Never two of one source: a key that several ids
+    of a source have says nothing, as do keys that would tie a node to several others, or a group in which a source comes twice.
+    Keys and groups are only counted, so none that many rows have is gathered in one task.
+    """
+    ids = keyed.groupBy("id").agg(F.min("source").alias("source"))
+    pairs = keyed.where("key is not null").select("id", "key").distinct().join(ids, "id")
+    alone = (F.count("*") > 1) & (F.count("*") == F.count_distinct("source"))
+    good = pairs.groupBy("key").agg(F.min("id").alias("least"), alone.alias("good")).where("good").select("key", "least")
+    one = pairs.join(good, "key").groupBy("id").agg(F.min("least").alias("least"), F.max("least").alias("most")).where("least = most").select("id", "least")
+    both = one.unionByName(one.select(F.col("least").alias("id"), "least")).distinct().join(ids, "id")
+    apart = both.groupBy("least").agg(alone.alias("good")).where("good").select("least")
+    named = both.join(apart, "least").groupBy("id").agg(F.min("least").alias("canonical"))
+    return ids.join(named, "id", "left").select("id", F.coalesce("canonical", "id").alias("canonical_id"))
+
+
+def person_keys(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """id, source, key of nodes (id, @type, name, source): persons by name and a node that they share an edge with, such as a party; a
+    name alone is no key, nor is a name with a missing part. Others have no key: their ids are the same in every source."""
+    near = edges.select(F.col("subject").alias("id"), F.col("object").alias("near")).unionByName(edges.select(F.col("object").alias("id"), F.col("subject").alias("near"))).distinct()
+    named = (F.col("`@type`") == "Person") & ~F.coalesce(F.col("name").rlike(r"\bNone\b"), F.lit(True))
+    key = F.when(named & F.col("near").isNotNull(), F.concat_ws("|", F.lower(F.trim("name")), "near"))
+    return nodes.join(near, "id", "left").select("id", "source", key.alias("key"))
 
 
 def rewrite(edges: DataFrame, canonical: DataFrame) -> DataFrame:
