@@ -5,6 +5,7 @@ The tables hold no faults, so rows are derived from them and faults are put in b
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,8 +17,12 @@ from quillmere.functions.rowschema import RowSchema, load
 from quillmere.operators import fragments as fr
 from quillmere.operators import gate as gt
 from quillmere.operators import graph
-from quillmere.operators.numbering import number_rows
-from quillmere.sources.rows import child_struct
+from quillmere.operators.maps import Mapped
+from quillmere.plans import stages
+from quillmere.plans.config import map_file
+from quillmere.sources.lines import numbered_lines
+from quillmere.sources.rows import Contributions, Members, child_struct, renamed
+from quillmere.sources.shared import stored_text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -25,20 +30,34 @@ ORACLE_SQL: dict[str, str] = {}
 RUN = "2025-01-01T000000Z"
 
 
+def in_utc(f):
+    """f with the session's zone at UTC while its plan is made; the caller's zone is put back."""
+
+    @functools.wraps(f)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        zone = spark.conf.get("spark.sql.session.timeZone")
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        try:
+            return f(spark, sf_dir)
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", zone)
+
+    return run
+
+
 def query(sql: str | None = None):
     """Registers a query under its function's name, with its SQL."""
 
     def add(f):
-        QUERIES[f.__name__] = f
+        QUERIES[f.__name__] = in_utc(f)
         if sql:
             ORACLE_SQL[f.__name__] = sql
-        return f
+        return QUERIES[f.__name__]
 
     return add
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -57,7 +76,7 @@ _strip = lambda x: f"regexp_replace({x}, '^{_WS}+|{_WS}+$', '', 'g')"  # noqa: E
 @query("SELECT c_custkey AS person_id, c_name AS person_official_first_name, c_mktsegment AS caucus_short_name FROM customer")
 def field_map_rename(spark, sf):
     headers = {"c_custkey": "person_id", "c_name": "person_official_first_name", "c_mktsegment": "caucus_short_name"}
-    return _t(spark, sf, "customer").select(*[F.col(h).alias(s) for h, s in headers.items()])
+    return renamed(_t(spark, sf, "customer"), headers)
 
 
 @query("""SELECT unnest(['person_id', 'person_short_honorific', 'person_official_first_name', 'person_official_last_name', 'constituency_name',
@@ -163,9 +182,57 @@ def cache_fresh(spark, sf):
 # -- lines, the gate and its summaries --------------------------------------------------------------------------------
 
 
-@query("""SELECT line, event_id FROM (SELECT row_number() OVER (ORDER BY event_id) AS line, event_id FROM events) WHERE event_id % 5 <> 0""")
+@query("""SELECT line, concat('e', event_id) AS record FROM (SELECT row_number() OVER (ORDER BY event_id) AS line, event_id FROM events) WHERE event_id % 5 <> 0""")
 def line_numbers_skip_blank(spark, sf):
-    return number_rows(_t(spark, sf, "events").select("event_id"), "event_id").where("event_id % 5 <> 0").select("line", "event_id")
+    """Written as lines, some of them blank, and read again by the numbered scan."""
+    text = F.when(F.col("event_id") % 5 == 0, F.lit("  ")).otherwise(F.concat(F.lit("e"), F.col("event_id").cast("string"), F.lit(" ")))
+    path = stored_text(_t(spark, sf, "events").orderBy("event_id").select(text.alias("value")), "lines")
+    return numbered_lines(spark, path)
+
+
+# -- publisher files: written from the tables, read by the adapters -----------------------------------------------------
+
+
+
+def _file(rows: DataFrame, key: str, head: str, tail: str | None, label: str) -> str:
+    """The column value of rows, by key, between two lines in one file."""
+    spark = rows.sparkSession
+    ends = spark.createDataFrame([(-1, head), *([(2**62, tail)] if tail else [])], "k long, value string")
+    body = rows.select(F.col(key).cast("long").alias("k"), "value")
+    return stored_text(ends.unionByName(body).coalesce(1).sortWithinPartitions("k").select("value"), label)
+
+
+@query("""SELECT CAST(c_custkey AS VARCHAR) AS person_id, CASE WHEN c_custkey % 3 = 1 THEN c_name END AS person_official_first_name, CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE 'A & ' || c_mktsegment END AS caucus_short_name,
+'2025-04-28T00:00:00Z' AS from_date_time, CAST(NULL AS VARCHAR) AS to_date_time FROM customer""")
+def xml_scan(spark, sf):
+    """The members adapter over XML: blank, nil, repeated and missing children, a prefix, an entity, a child that isn't mapped."""
+    k = F.col("c_custkey")
+    first = F.when(k % 3 == 0, F.lit("<PersonOfficialFirstName>  </PersonOfficialFirstName>")).when(k % 3 == 1, F.concat(F.lit("<PersonOfficialFirstName> "), "c_name", F.lit("</PersonOfficialFirstName><PersonOfficialFirstName>x</PersonOfficialFirstName>")))
+    first = F.coalesce(first, F.concat(F.lit('<PersonOfficialFirstName xsi:nil="true">'), "c_name", F.lit("</PersonOfficialFirstName>")))
+    party = F.when(k % 5 == 0, F.lit("")).otherwise(F.concat(F.lit("<CaucusShortName>A &amp; "), "c_mktsegment", F.lit("</CaucusShortName>")))
+    row = F.concat(F.lit("<MemberOfParliament><PersonId>"), k.cast("string"), F.lit("</PersonId>"), first, party, F.lit("<Other>1</Other><FromDateTime>2025-04-28T00:00:00</FromDateTime></MemberOfParliament>"))
+    rows = _t(spark, sf, "customer").select("c_custkey", row.alias("value"))
+    path = _file(rows, "c_custkey", '<All xmlns:xsi="http://www.w3.org/2001/XMLSchema-instance">', "</All>", "xml")
+    rows = Members().normalize(Members().parse(spark, path))
+    return rows.select("person_id", "person_official_first_name", "caucus_short_name", "from_date_time", "to_date_time")
+
+
+_CSV_ID = "CASE o_orderkey % 6 WHEN 0 THEN 'NA' WHEN 1 THEN '' WHEN 3 THEN 'null' ELSE CAST(o_orderkey AS VARCHAR) END"
+
+
+@query(f"""SELECT trim(id) AS recipient_id, concat('Say "', o_orderpriority, '", twice') AS recipient_name, CASE WHEN o_orderkey % 4 <> 0 THEN o_orderstatus END AS monetary_amount, CAST(NULL AS VARCHAR) AS form_id
+FROM (SELECT *, {_CSV_ID} AS id FROM orders) WHERE id NOT IN ('NA', '', 'null')""")
+def csv_scan(spark, sf):
+    """The contributions adapter over CSV: quotes and commas within cells, cells that stand for missing values, a column that isn't mapped,
+    headers that the file lacks, records without an id dropped."""
+    id_ = _CSV_ID.replace("VARCHAR", "STRING")
+    row = F.expr(f"""concat_ws(',', concat(' ', {id_}, ' '), concat('"Say ""', o_orderpriority, '"", twice"'), 'x', CASE WHEN o_orderkey % 4 = 0 THEN 'n/a' ELSE o_orderstatus END)""")
+    # cells of missing values are matched before they are trimmed, so those aren't padded
+    bare = F.regexp_replace(row, "^ (NA|null|) ,", "$1,")
+    rows = _t(spark, sf, "orders").select("o_orderkey", bare.alias("value"))
+    path = _file(rows, "o_orderkey", "Recipient ID,Recipient,Extra,Monetary amount", None, "csv")
+    adapter = Contributions()
+    return adapter.normalize(adapter.parse(spark, path)).where(adapter.keep()).select("recipient_id", "recipient_name", "monetary_amount", "form_id")
 
 
 #: A JSON record for each event, with a fault by remainder; the same text in both engines.
@@ -296,19 +363,53 @@ def fragments_json(spark, sf):
     return fr.as_json(fr.exploded(_member_rows(spark, sf), fr.Members("commons_members", RUN)))
 
 
-@query(f"WITH r AS ({_ROWS}) SELECT count(*) AS record_count, count(*) FILTER (line % 11 <> 0) AS accepted_count, count(*) FILTER (line % 11 = 0) AS rejected_count, 3 * count(*) FILTER (line % 11 <> 0) AS fragment_count FROM r")
+_NEEDS_LAST = "line % 11 <> 0"
+
+
+def _bronze(spark, sf) -> DataFrame:
+    """Member rows as accepted records, some of which lack a needed key, read by the stage's own scan."""
+    names = ["person_id", "person_official_first_name", "person_official_last_name", "from_date_time"]
+    whole = F.to_json(F.struct(*names), {"ignoreNullFields": "false"})
+    rows = _member_rows(spark, sf).select("line", F.when(F.expr(_NEEDS_LAST), whole).otherwise(F.to_json(F.struct("person_id"))).alias("value"))
+    path = stored_text(rows.orderBy("line").select("value"), "bronze")
+    return stages.bronze_rows(spark, path, members_schema().names, fr.Members.needs, strict=False)
+
+
+_LINES = f"SELECT row_number() OVER (ORDER BY line) AS n, * FROM ({_ROWS})"
+
+
+@query(f"WITH r AS ({_ROWS}) SELECT count(*) AS record_count, count(*) FILTER ({_NEEDS_LAST}) AS accepted_count, count(*) FILTER (NOT {_NEEDS_LAST}) AS rejected_count, 3 * count(*) FILTER ({_NEEDS_LAST}) AS fragment_count FROM r")
 def transform_summary(spark, sf):
-    made, good = fr.Members("commons_members", RUN), F.col("line") % 11 != 0
-    n = F.when(good, F.size(made.fragments(F.col("line"))))
-    return _member_rows(spark, sf).select(good.alias("good"), n.alias("n")).agg(F.count("*").alias("record_count"), F.count_if("good").alias("accepted_count"), F.count_if(~F.col("good")).alias("rejected_count"), F.sum("n").alias("fragment_count"))
+    rows = _bronze(spark, sf)
+    got = stages.summarised(rows, fr.exploded(rows.where("materializable"), fr.Members("commons_members", RUN)))
+    return spark.createDataFrame([tuple(got.values())], ", ".join(f"{k} long" for k in got))
 
 
-@query(f"""WITH r AS ({_ROWS}) SELECT line, CASE WHEN line % 11 = 0 THEN 'quarantine' ELSE 'accepted' END AS lane FROM r""")
+@query(f"""WITH r AS ({_LINES}) SELECT n AS line, concat('{{"person_id":"', person_id, '"}}') AS record FROM r WHERE NOT {_NEEDS_LAST}""")
 def transform_quarantine(spark, sf):
-    text = F.when(F.col("line") % 11 == 0, F.to_json(F.struct("person_id"))).otherwise(F.to_json(F.struct("person_id", "person_official_first_name", "person_official_last_name", "from_date_time"), {"ignoreNullFields": "false"}))
-    needs = fr.Members.needs
-    has = F.size(F.array_intersect(F.json_object_keys(text), F.array(*[F.lit(n) for n in needs]))) == len(needs)
-    return _member_rows(spark, sf).select("line", F.when(has, "accepted").otherwise("quarantine").alias("lane"))
+    return _bronze(spark, sf).where("not materializable").select("line", "record")
+
+
+_PASSED = """CASE WHEN c_custkey % 4 = 0 THEN '{"b": 1,  "a": null}' ELSE concat('{"person_id": "', c_custkey, '"}') END"""
+
+
+@query(f"SELECT row_number() OVER (ORDER BY c_custkey) AS line, {_PASSED} AS record FROM customer")
+def bronze_pass_through(spark, sf):
+    """Records of a run without a map: as they are."""
+    path = stored_text(_t(spark, sf, "customer").orderBy("c_custkey").select(F.expr(_PASSED).alias("value")), "bronze")
+    return stages.bronze_rows(spark, path, members_schema().names, (), strict=True).where("materializable").select("line", "record")
+
+
+@query(f"""WITH r AS ({_ROWS}), x AS (SELECT line, concat('gckg:Person:Commons:', person_id) AS person, concat('gckg:MemberOfParliament:', person_id, ':', coalesce(start, 'None')) AS role,
+concat(coalesce(first, ''), ' ', coalesce(last, '')) AS name, start FROM r)
+SELECT line, 0 AS pos, 'MemberOfParliament' AS kind, role AS id, NULL AS name, start AS start_date, NULL AS subject, NULL AS predicate, NULL AS object FROM x
+UNION ALL SELECT line, 1, 'Person', person, name, NULL, NULL, NULL, NULL FROM x UNION ALL SELECT line, 2, 'PersonHasRoleMemberOfParliament', NULL, NULL, NULL, person, 'hasRole', role FROM x""")
+def declarative_map(spark, sf):
+    schema = members_schema()
+    rows = _member_rows(spark, sf)
+    rows = rows.select("*", *[F.lit(None).cast("string").alias(n) for n in schema.names if n not in rows.columns])
+    made = Mapped("commons_members", RUN, map_file("commons_members"), schema.name, schema.names)
+    return fr.exploded(rows, made).select("line", "pos", F.col("`@type`").alias("kind"), "id", "name", "start_date", "subject", "predicate", "object")
 
 
 # -- contributions ----------------------------------------------------------------------------------------------------
@@ -326,19 +427,34 @@ def contrib_missing_to_null(spark, sf):
     return _cells(spark, sf).select("o_orderkey", C.trim_or_null(C.missing_to_null(F.col("cell"))).alias("value"))
 
 
-@query(f"SELECT o_orderkey, {_CLEAN} AS recipient_id FROM (SELECT o_orderkey, {_CELL} AS cell FROM orders) WHERE {_CLEAN} <> ''")
+@query(f"SELECT {_CLEAN} AS recipient_id, o_orderstatus AS recipient_name FROM (SELECT *, {_CELL} AS cell FROM orders) WHERE {_CLEAN} <> ''")
 def contrib_filter(spark, sf):
-    rows = _cells(spark, sf).select("o_orderkey", C.id_text(C.missing_to_null(F.col("cell"))).alias("recipient_id"))
-    return rows.where(F.col("recipient_id").isNotNull() & (F.col("recipient_id") != ""))
+    adapter = Contributions()
+    raw = _t(spark, sf, "orders").select(F.expr(_CELL).alias("Recipient ID"), F.col("o_orderstatus").alias("Recipient"))
+    return adapter.normalize(renamed(raw, adapter.schema.headers)).where(adapter.keep()).select("recipient_id", "recipient_name")
+
+
+@query("""WITH x AS (SELECT o_orderkey AS line, concat('gckg:contribution/""" + RUN + """/', o_orderkey) AS event, concat('gckg:Recipient:', o_custkey) AS recipient, concat('gckg:contributor/', replace(lower(o_clerk), '#', '-')) AS giver,
+concat('gckg:party/commons/', lower(o_orderstatus)) AS party, CASE WHEN o_orderkey % 3 <> 0 THEN concat('gckg:district/commons/', trim(regexp_replace(lower(o_orderpriority), '[^a-z0-9]+', '-', 'g'), '-')) END AS place FROM (SELECT *, concat('Clerk#', o_custkey % 50) AS o_clerk FROM orders))
+SELECT line, 'AgentMadeContribution' AS kind, giver AS subject, 'made' AS predicate, event AS object FROM x UNION ALL SELECT line, 'ContributionReceivedByPerson', event, 'receivedBy', recipient FROM x
+UNION ALL SELECT line, 'PersonAssociatedWithPoliticalParty', recipient, 'associatedWith', party FROM x UNION ALL SELECT line, 'ContributionInFederalElectoralDistrict', event, 'inDistrict', place FROM x WHERE place IS NOT NULL""")
+def contribution_edges(spark, sf):
+    adapter = Contributions()
+    raw = _t(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("line"), F.col("o_custkey").cast("string").alias("Recipient ID"), F.concat(F.lit("Clerk#"), (F.col("o_custkey") % 50).cast("string")).alias("Contributor name"),
+        F.col("o_orderstatus").alias("Political Party of Recipient"), F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderpriority")).alias("Electoral District"),
+    )
+    rows = renamed(raw, {"line": "line", **adapter.schema.headers})
+    return fr.edges(fr.exploded(rows, fr.Contributions("c", RUN))).select("line", F.col("`@type`").alias("kind"), "subject", "predicate", "object")
 
 
 # -- extensions: planned by the reference, not executed there ------------------------------------------------------------
 
 
-@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey % 3 <> 0 AND o_custkey IS NOT NULL")
+@query("SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS person_id FROM orders WHERE o_orderkey % 3 <> 0 AND o_custkey IS NOT NULL")
 def current_only(spark, sf):
-    rows = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderdate")).alias("to_date_time"))
-    return rows.where("to_date_time is null and o_custkey is not null").select("o_orderkey", "o_custkey")
+    rows = _t(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("person_id"), F.when(F.col("o_orderkey") % 3 == 0, C.iso_text(F.col("o_orderdate"))).alias("to_date_time"))
+    return stages.current(rows).select("o_orderkey", "person_id")
 
 
 _slug = lambda x: f"nullif(regexp_replace(regexp_replace(translate(lower({x}), 'àáâãäåçèéêëìíîïñòóôõöùúûüýÿ', 'aaaaaaceeeeiiiinooooouuuuyy'), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), '')"
@@ -382,9 +498,24 @@ def integrate_union_dedupe(spark, sf):
     return graph.dedupe_nodes(graph.merge(p, p)).select("id", "name", F.col("mentions").cast("int").alias("mentions"))
 
 
-@query(f"WITH p AS ({_PEOPLE}) SELECT id, min(id) OVER (PARTITION BY name) AS canonical_id FROM p")
+#: Persons of two sources, some of them namesakes, and the parties they are tied to: two for some.
+_KEYED = """SELECT concat('a:', c_custkey) AS id, 'a' AS source, concat('k', c_custkey % 5000) AS name, concat('party', c_nationkey) AS near FROM customer
+UNION ALL SELECT concat('a:', c_custkey), 'a', concat('k', c_custkey % 5000), concat('party', c_nationkey + 1) FROM customer WHERE c_custkey % 7 = 0
+UNION ALL SELECT concat('b:', s_suppkey), 'b', concat('K', s_suppkey % 700), concat('party', s_suppkey % 25) FROM supplier"""
+
+
+@query(f"""WITH k AS (SELECT DISTINCT id, source, lower(name) || '|' || near AS key FROM ({_KEYED})), ids AS (SELECT DISTINCT id, source FROM k),
+g AS (SELECT key, min(id) AS least FROM k GROUP BY key HAVING count(DISTINCT id) > 1 AND count(DISTINCT id) = count(DISTINCT source)),
+o AS (SELECT id, min(least) AS least FROM k JOIN g USING (key) GROUP BY id HAVING count(DISTINCT least) = 1), b AS (SELECT id, least FROM o UNION SELECT least, least FROM o),
+w AS (SELECT least FROM b JOIN ids USING (id) GROUP BY least HAVING count(DISTINCT id) > 1 AND count(DISTINCT id) = count(DISTINCT source)), c AS (SELECT id, min(least) AS c FROM b JOIN w USING (least) GROUP BY id)
+SELECT id, coalesce(c, id) AS canonical_id FROM ids LEFT JOIN c USING (id)""")
 def resolve_entities(spark, sf):
-    return graph.resolve(_people(spark, sf), "name")
+    c, s = _t(spark, sf, "customer"), _t(spark, sf, "supplier")
+    a = lambda more: c.select(F.expr("concat('a:', c_custkey)").alias("id"), F.lit("a").alias("source"), F.expr("concat('k', c_custkey % 5000)").alias("name"), F.expr(f"concat('party', c_nationkey + {more})").alias("near"), "c_custkey")
+    b = s.select(F.expr("concat('b:', s_suppkey)").alias("id"), F.lit("b").alias("source"), F.expr("concat('K', s_suppkey % 700)").alias("name"), F.expr("concat('party', s_suppkey % 25)").alias("near"))
+    people = graph.merge(a(0).drop("c_custkey"), a(1).where("c_custkey % 7 = 0").drop("c_custkey"), b)
+    nodes = people.select("id", "source", "name", F.lit("Person").alias("@type")).distinct()
+    return graph.resolve(graph.person_keys(nodes, people.select(F.col("id").alias("subject"), F.col("near").alias("object"))))
 
 
 _EDGES = """SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN 'PersonHasRoleMemberOfParliament' WHEN o_orderkey % 4 = 1 THEN 'Other' ELSE 'PersonHasRoleMemberOfParliament' END AS kind,
@@ -427,6 +558,7 @@ def gold_nodes(spark, sf):
     return graph.node_faults(n).select("id", "fault")
 
 
+@in_utc
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Records that pass the gate, as fragments."""
     schema = members_schema()

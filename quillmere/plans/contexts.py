@@ -1,4 +1,4 @@
-"""Where a run reads and writes: {root}/{source}/{run}/..."""
+"""Where a run reads and writes: {root}/{source}/{run}/..., on this machine or in any store that Spark reaches."""
 
 from __future__ import annotations
 
@@ -14,17 +14,29 @@ def run_stamp() -> str:
     return datetime.now(UTC).strftime("%Y-%m-%dT%H%M%SZ")
 
 
+class Place(str):
+    """An address with a scheme, joined with / as paths are."""
+
+    def __truediv__(self, name) -> Place:
+        return Place(f"{self.rstrip('/')}/{name}")
+
+
+def place(root) -> Path | Place:
+    return Place(root) if "://" in str(root) else Path(root)
+
+
 @dataclass(frozen=True)
 class Run:
-    """single_file: outputs are one named file each (put together from Spark's part files, in order); otherwise folders of
-    part files, for inputs too large for that."""
+    """single_file: outputs are one named file each, put together from Spark's part files; otherwise folders of part files.
+    config_path: another registry of sources than the package's own."""
 
     source: str
     run_id: str
-    single_file: bool = True
+    single_file: bool = False
+    config_path: Path | None = None
 
-    def under(self, root: Path | str, run_id: str | None = None) -> Path:
-        return Path(root) / self.source / (run_id or self.run_id)
+    def under(self, root, run_id: str | None = None):
+        return place(root) / self.source / (run_id or self.run_id)
 
 
 @dataclass(frozen=True)
@@ -35,23 +47,23 @@ class IngestRun(Run):
     current_only: bool = False
 
     @property
-    def folder(self) -> Path:
+    def folder(self):
         return self.under(self.staging_root)
 
     @property
-    def raw(self) -> Path:
+    def raw(self):
         return self.folder / "raw"
 
     @property
-    def cache(self) -> Path:
-        return Path(self.staging_root) / self.source / "cache"
+    def cache(self):
+        return place(self.staging_root) / self.source / "cache"
 
     @property
-    def records(self) -> Path:
+    def records(self):
         return self.folder / "records.jsonl"
 
     @property
-    def manifest(self) -> Path:
+    def manifest(self):
         return self.folder / "manifest.json"
 
 
@@ -64,30 +76,34 @@ class ValidateRun(Run):
     fail_fast: bool = False
 
     @property
-    def staged(self) -> Path:
+    def staged(self):
         return self.under(self.staging_root, self.staging_run_id)
 
     @property
-    def bronze(self) -> Path:
+    def bronze(self):
         return self.under(self.bronze_root)
 
     @property
-    def quarantine(self) -> Path:
+    def quarantine(self):
         return self.under(self.quarantine_root)
 
 
 @dataclass(frozen=True)
 class TransformRun(Run):
+    """map_path: a declarative map instead of the source's materializer. untransformed: records go on as they are."""
+
     bronze_run_id: str = ""
     bronze_root: Path = Path("bronze")
     silver_root: Path = Path("silver")
     strict: bool = True
     extended: bool = False
+    map_path: Path | None = None
+    untransformed: bool = False
 
     @property
-    def bronze(self) -> Path:
+    def bronze(self):
         return self.under(self.bronze_root, self.bronze_run_id)
 
     @property
-    def silver(self) -> Path:
+    def silver(self):
         return self.under(self.silver_root)

@@ -47,6 +47,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
+def stored_text(lines: DataFrame, label: str) -> str:
+    """The address of a folder of text files with the column value of lines; it goes when the application ends."""
+    path = f"{shared_root(lines.sparkSession)}/quillmere/{label}-{uuid.uuid4().hex}"
+    lines.write.text(path)
+    fs, p = hadoop_path(lines.sparkSession, path)
+    fs.deleteOnExit(p)
+    return path
+
+
 def dropped(*tables: DataFrame) -> None:
     """Deletes what stored() wrote, once nothing reads it any more."""
     for df in tables:

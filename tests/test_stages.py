@@ -42,7 +42,12 @@ def staged(tmp_path, *records, manifest=True):
 
 
 def lines(p):
-    return [json.loads(x) for x in p.read_text(encoding="utf-8").splitlines()]
+    return [json.loads(x) for x in text(p).splitlines()]
+
+
+def text(p):
+    """A file's text, or that of the parts of a folder in order."""
+    return "".join(f.read_text(encoding="utf-8") for f in (sorted(p.glob("part-*")) if p.is_dir() else [p]))
 
 
 def test_all_stages(spark, tmp_path):
@@ -107,8 +112,8 @@ def test_gate_rejects(spark, tmp_path, bad, slot):
 def test_gate_accepts(spark, tmp_path):
     run = staged(tmp_path, GOOD, {"person_id": "1"}, '{"person_id": null, "person_id": "2"}', GOOD | {"from_date_time": "2025-04-28t00:00:00.5+02:00"})
     assert stages.run_validate(spark, run)["output"]["record_count"] == 4
-    assert (run.quarantine / "rejects.jsonl").read_text() == ""
-    assert (run.bronze / "records.jsonl").read_text().splitlines()[2] == '{"person_id": null, "person_id": "2"}'
+    assert text(run.quarantine / "rejects.jsonl") == ""
+    assert text(run.bronze / "records.jsonl").splitlines()[2] == '{"person_id": null, "person_id": "2"}'
 
 
 def test_two_errors_count_twice(spark, tmp_path):
@@ -198,6 +203,12 @@ def test_contributions(spark, tmp_path):
     got = lines(run.records)
     assert [(r["recipient_id"], r["recipient_name"], r["monetary_amount"], r["form_id"], r["contributor_name"]) for r in got] == [("12", "A, B", "10.5", "3", None), ("13", None, "2", "", None)]
     assert len(got[0]) == 27
+    v = ValidateRun(run.source, "b", staging_run_id="r", staging_root=tmp_path / "staging", bronze_root=tmp_path / "bronze", quarantine_root=tmp_path / "q")
+    assert stages.run_validate(spark, v)["output"]["record_count"] == 2
+    t = TransformRun(run.source, "s", bronze_run_id="b", bronze_root=tmp_path / "bronze", silver_root=tmp_path / "silver")
+    assert stages.run_transform(spark, t)["output"]["fragment_count"] == 6
+    stages.run_merge(spark, [str(t.silver / "fragments.jsonl")], tmp_path / "merged")
+    assert stages.run_publish(spark, tmp_path / "merged", tmp_path / "gold") == {"stage": "publish", "accepted_count": 6, "fault_counts": {}}
     with pytest.raises(FetchError):
         stages.run_ingest(spark, IngestRun("open_canada_federal_election_contribution", "r", staging_root=tmp_path))
 
@@ -206,9 +217,11 @@ def test_fetch_policies(tmp_path):
     cfg, calls = {"url": "http://x/y", "format": "xml", "raw_filename": "m.xml", "ttl_seconds": 100}, []
 
     def get(status, body=b"<a/>", headers=None):
-        def f(url, asked):
+        def f(url, asked, to):
             calls.append(asked)
-            return status, headers or {"ETag": "e1", "Last-Modified": "then"}, body
+            if status == 200:
+                to.write_bytes(body)
+            return status, headers or {"ETag": "e1", "Last-Modified": "then"}
 
         return f
 
@@ -232,6 +245,129 @@ def test_fetch_policies(tmp_path):
         fetch.fetch_raw(run("local-file"), cfg)
 
 
+def test_http(tmp_path):
+    import http.server
+    import threading
+
+    class H(http.server.BaseHTTPRequestHandler):
+        def do_GET(self):
+            self.send_response(302 if self.path == "/old" else 404 if self.path == "/none" else 200)
+            if self.path == "/old":
+                self.send_header("Location", "/new?x=1")
+            self.end_headers()
+            if self.path.startswith("/new"):
+                self.wfile.write(b"x" * 200_000 + self.path.encode() + self.headers["User-Agent"].encode())
+
+        def log_message(self, *a):
+            pass
+
+    server = http.server.HTTPServer(("127.0.0.1", 0), H)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    at = f"http://127.0.0.1:{server.server_port}"
+    try:
+        status, _ = fetch.http_get(f"{at}/old", {"User-Agent": "u"}, tmp_path / "f")
+        assert status == 200 and (tmp_path / "f").read_bytes() == b"x" * 200_000 + b"/new?x=1u"
+        assert fetch.http_get(f"{at}/none", {}, tmp_path / "g")[0] == 404 and not (tmp_path / "g").exists()
+    finally:
+        server.shutdown()
+        server.server_close()
+    with pytest.raises(FetchError):
+        fetch.http_get(f"{at}/new", {}, tmp_path / "g")
+
+
+def test_csv_records_over_several_lines(spark, tmp_path):
+    p = tmp_path / "c.csv"
+    p.write_text('Recipient ID,Recipient\n1,"a ""b"", c"\n2,"d\ne"\n')
+    assert [tuple(r) for r in rows.csv_rows(spark, str(p), {"Recipient ID": "i", "Recipient": "n"}).collect()] == [("1", 'a "b", c'), ("2", "d\ne")]
+
+
+@pytest.mark.parametrize("text_", ["2025-04-28", "20250428", "20250428T103000", "2025-04-28T10", "2025-04-28T10:30", "20250428T1030", "2025-04-28 10:30:00.5", "2025-04-28T10:30:00,123456789", "2025-04-28T10:30:00+0230", "20250428T103000-05", "2025-W18-1", "2025W181T10", "2025-W18", "2020-W53-7", "2025-04-28T10:30:00Z", " 2025-04-28T10:30:00+02:00 ", "", "  "])
+def test_iso_dates_are_read_as_python_reads_them(spark, text_):
+    from datetime import UTC, datetime
+
+    from quillmere.functions import columns as C
+
+    want = datetime.fromisoformat(text_.strip()) if text_.strip() else None
+    want = want and want.replace(tzinfo=want.tzinfo or UTC).astimezone(UTC).replace(tzinfo=None)
+    got = spark.createDataFrame([(text_,)], "t string").select(C.iso_timestamp(stages.F.col("t")).cast("string").alias("t")).first().t
+    assert (got and datetime.fromisoformat(got)) == want
+
+
+@pytest.mark.parametrize("bad", ["2025-13-01", "20250230", "2025-04-28T25", "not-a-date", "2025-W54-1x"])
+def test_bad_dates_fail(spark, bad):
+    from quillmere.functions import columns as C
+
+    with pytest.raises(PySparkException):
+        spark.createDataFrame([(bad,)], "t string").select(C.iso_timestamp(stages.F.col("t"))).collect()
+
+
+def test_maps(spark, tmp_path):
+    from quillmere.operators.maps import compiled
+    from quillmere.plans.errors import SchemaConfigError
+
+    df = spark.createDataFrame([("x", None, "")], "a string, b string, c string")
+    for expr, want in [("a + 'y'", "xy"), ("b + 'y'", None), ("str(b)", "None"), ("b or c or 'z'", "z"), ("a and 'q'", "q"), ("b and 'q'", None), ("a if b is None else 'n'", "x"), ("'t' if not c else 'f'", "t"), ("'t' if a == 'x' and b is None or c else 'f'", "t"), ("upper(a) + str(1)", "X1")]:
+        assert df.select(compiled(expr, df.columns)).first()[0] == want, expr
+    for expr in ["d", "a.b", "__import__('os')", "a[0]", "lambda: a", "a * 2", "str(a, b)", "eval('a')", "a +", "True"]:
+        with pytest.raises(SchemaConfigError):
+            compiled(expr, df.columns)
+    roots = bronze(tmp_path, GOOD, GOOD | {"person_official_last_name": None})
+    m = tmp_path / "m.yaml"
+    m.write_text("class_derivations: {Person: {populated_from: CommonsMembersRow, slot_derivations: {id: {expr: \"'p:' + person_id\"}, name: {populated_from: person_official_last_name}}}, Other: {populated_from: Elsewhere}}")
+    t = TransformRun(SRC, "s", map_path=m, **roots)
+    out = stages.run_transform(spark, t)
+    assert out["transform_map"] == str(m) and out["output"]["fragment_count"] == 2
+    assert [{k: v for k, v in x.items() if k != "bronze_reference"} for x in lines(t.silver / "fragments.jsonl")] == [{"@type": "Person", "id": "p:7", "name": "Bé"}, {"@type": "Person", "id": "p:7"}]
+    config = tmp_path / "sources.yaml"
+    config.write_text("commons_members: {schema: commons_members.yaml, target_class: CommonsMembersRow, map: m.yaml}")
+    again = TransformRun(SRC, "s2", config_path=config, **roots)
+    assert stages.run_transform(spark, again)["output"]["fragment_count"] == 2
+    m.write_text("class_derivations: {Person: {slot_derivations: {shoe: {expr: person_id}}}}")
+    with pytest.raises(SchemaConfigError):
+        stages.run_transform(spark, TransformRun(SRC, "s", map_path=m, **roots))
+    with pytest.raises(SystemExit):
+        cli.main(["transforms", "run", "--source", SRC, "--bronze-run-id", "b", "--map", str(m)])
+
+
+def test_untransformed(spark, tmp_path):
+    roots = bronze(tmp_path, GOOD, NO_ID)
+    t = TransformRun(SRC, "s", untransformed=True, **roots)
+    out = stages.run_transform(spark, t)
+    assert out["output"]["record_count"] == 2 and out["output"]["fragment_count"] == 0 and out["transform_map"] is None
+    assert text(t.silver / "records.jsonl") == (t.bronze / "records.jsonl").read_text()
+
+
+def test_old_output_stays_if_the_new_fails(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from quillmere.sources.sinks import write_lines
+
+    for single in (True, False):
+        out = tmp_path / f"{single}.txt"
+        write_lines(spark.range(100).select(F.col("id").cast("string").alias("value"), "id"), f"file://{out}", "id", single_file=single)
+        assert text(out).split() == [str(i) for i in range(100)] and out.is_file() == single
+        with pytest.raises(PySparkException):
+            write_lines(spark.range(5).select(F.raise_error(F.lit("x")).alias("value")), out, single_file=single)
+        assert text(out).split() == [str(i) for i in range(100)]
+        write_lines(spark.range(3).select(F.col("id").cast("string").alias("value")), out, single_file=single)
+        assert sorted(text(out).split()) == ["0", "1", "2"]
+
+
+def test_namesakes_stay_apart(spark):
+    from quillmere.operators import graph
+
+    nodes = spark.createDataFrame([("a:1", "Person", "Ann Lee", "a"), ("a:2", "Person", "Ann Lee", "a"), ("b:1", "Person", "ann lee", "b"), ("b:2", "Person", "Bo Li", "b"), ("a:3", "Person", "Bo Li", "a"), ("a:4", "Person", "Cy None", "a"), ("b:4", "Person", "Cy None", "b"), ("p:x", "PoliticalParty", "X", "a"), ("p:y", "PoliticalParty", "X", "b")], "id string, `@type` string, name string, source string")
+    party = lambda who, p: (who, f"p:{p}")
+    resolved = lambda *e: {r.id: r.canonical_id for r in graph.resolve(graph.person_keys(nodes, spark.createDataFrame(list(e), "subject string, object string"))).collect()}
+    alone = {r.id: r.id for r in nodes.collect()}
+    assert resolved(party("a:4", "x"), party("b:4", "x")) == alone  # a name without a part
+    assert resolved(party("a:3", "x"), party("b:2", "x")) == alone | {"b:2": "a:3"}
+    assert resolved(party("a:1", "x"), party("a:2", "x"), party("b:1", "x")) == alone  # which of the two isn't known
+    assert resolved(party("a:1", "x"), party("a:2", "y"), party("b:1", "x")) == alone | {"b:1": "a:1"}
+    assert resolved(party("a:1", "x"), party("a:2", "y"), party("b:1", "x"), party("b:1", "y")) == alone  # never two of one source
+    assert resolved(party("a:3", "x"), party("b:2", "y")) == alone  # a name alone
+
+
 def test_registry():
     assert rows.list_sources() == ["commons_members", "open_canada_federal_election_contribution"]
     with pytest.raises(ValueError, match="source"):
@@ -271,8 +407,8 @@ def test_command_line(spark, tmp_path, capsys):
     s = tmp_path / "staging"
     assert cli.main(["ingest", "run", "--source", SRC, "--run-id", "r", "--fetch-policy", "local-file", "--input", str(p), "--staging-root", str(s)]) == 0
     assert json.loads(capsys.readouterr().out)["record_count"] == 1
-    assert cli.main(["validate", "run", "--source", SRC, "--staging-run-id", "r", "--run-id", "b", "--staging-root", str(s), "--bronze-root", str(tmp_path / "b"), "--quarantine-root", str(tmp_path / "q"), "--parts"]) == 0
-    assert cli.main(["transforms", "run", "--source", SRC, "--bronze-run-id", "b", "--run-id", "x", "--bronze-root", str(tmp_path / "b"), "--silver-root", str(tmp_path / "sv")]) == 0
+    assert cli.main(["validate", "run", "--source", SRC, "--staging-run-id", "r", "--run-id", "b", "--staging-root", str(s), "--bronze-root", str(tmp_path / "b"), "--quarantine-root", str(tmp_path / "q")]) == 0
+    assert cli.main(["transforms", "run", "--source", SRC, "--bronze-run-id", "b", "--run-id", "x", "--bronze-root", str(tmp_path / "b"), "--silver-root", str(tmp_path / "sv"), "--single-file"]) == 0
     assert (tmp_path / "b" / SRC / "b" / "records.jsonl").is_dir() and (tmp_path / "sv" / SRC / "x" / "fragments.jsonl").is_file()
     capsys.readouterr()
     for stage in ("ingest", "validate"):
