@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -16,6 +18,7 @@ __all__ = ["arrow_filter", "arrow_map", "bounded_sample", "crc_of_id", "dropped"
 
 #: Rows of a batch that a function sees at most; keeps a worker's memory at a few MB of ordinary texts.
 BATCH_ROWS = 1000
+_RECORDS, _DEFAULT_RECORDS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
 #: Rows of a few numbers that are broadcast at most, after counting them; beyond, both sides are shuffled.
 BROADCAST_ROWS = 1_000_000
 #: So many times fewer where the other side would otherwise only be shuffled by key.
@@ -67,6 +70,20 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield b.slice(at, BATCH_ROWS)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Batches of BATCH_ROWS rows between Spark and Python, unless the session has a size of its own: whole batches of texts are held on
+    both sides, and the setting is read when a plan is run, so it can't be put back before that."""
+    if spark.conf.get(_RECORDS) == _DEFAULT_RECORDS:
+        spark.conf.set(_RECORDS, str(BATCH_ROWS))
+
+
+def _released() -> None:
+    """Gives memory that a task has freed back to the system; workers live on, idle, beside the next tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def arrow_schema(schema: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
@@ -77,12 +94,14 @@ def arrow_schema(schema: str) -> pa.Schema:
 def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema: str) -> DataFrame:
     """mapInArrow with fn(batch of at most BATCH_ROWS rows) -> columns. fn is pure, so a lost task can be run again."""
     arrow = arrow_schema(schema)
+    small_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _slices(batches):
             out = fn(b)
             if out is not None:
                 yield pa.RecordBatch.from_arrays([out[f.name] if isinstance(out[f.name], pa.Array) else pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
+        _released()
 
     return df.mapInArrow(run, schema)
 
@@ -90,9 +109,12 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema
 def arrow_filter(df: DataFrame, fn: Callable[[pa.RecordBatch], np.ndarray]) -> DataFrame:
     """The rows of df, all columns, where fn(batch) is true: no join, so it doesn't matter what ids there are."""
 
+    small_batches(df.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _slices(batches):
             yield b.filter(pa.array(fn(b), pa.bool_()))
+        _released()
 
     return df.mapInArrow(run, df.schema)
 
