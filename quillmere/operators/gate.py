@@ -54,11 +54,16 @@ def with_errors(records: DataFrame, schema: RowSchema, strict_json: bool = True)
     return once(seen, errors=F.when(v.isNull(), bad).otherwise(errors)).drop("_v", "_keys", "_kinds", "_texts", "_has")
 
 
+def accepts(errors: Column) -> Column:
+    """Whether no error is of a severity that rejects a record; one without a severity does."""
+    return F.size(F.filter(errors, lambda e: e["severity"].isNull() | e["severity"].isin(*SEVERITIES))) == 0
+
+
 def gate(records: DataFrame, schema: RowSchema, fail_fast: bool = False, strict_json: bool = True) -> DataFrame:
     """records (line, record) with errors and accepted. With fail_fast, only lines up to the first rejected one, whose
     errors are cut to the first."""
     out = with_errors(records, schema, strict_json)
-    out = out.withColumn("accepted", F.size(F.filter("errors", lambda e: e["severity"].isNull() | e["severity"].isin(*SEVERITIES))) == 0)
+    out = out.withColumn("accepted", accepts(F.col("errors")))
     if not fail_fast:
         return out
     out = stored(out, "gated")  # read twice: for the first rejected line, and up to it

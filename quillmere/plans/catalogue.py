@@ -194,12 +194,13 @@ def line_numbers_skip_blank(spark, sf):
 
 
 
-def _file(rows: DataFrame, key: str, head: str, tail: str | None, label: str) -> str:
-    """The column value of rows, by key, between two lines in one file."""
+def _files(rows: DataFrame, key: str, head: str, tail: str | None, label: str, n: int = 8) -> str:
+    """The column value of rows, by key, between two lines: n files, each with its own first and last line."""
     spark = rows.sparkSession
-    ends = spark.createDataFrame([(-1, head), *([(2**62, tail)] if tail else [])], "k long, value string")
-    body = rows.select(F.col(key).cast("long").alias("k"), "value")
-    return stored_text(ends.unionByName(body).coalesce(1).sortWithinPartitions("k").select("value"), label)
+    lines = [(i, k, v) for i in range(n) for k, v in ((-1, head), (2**62, tail)) if v is not None]
+    ends = spark.createDataFrame(lines, "part int, k long, value string")
+    body = rows.select(F.pmod(F.xxhash64(key), F.lit(n)).cast("int").alias("part"), F.col(key).cast("long").alias("k"), "value")
+    return stored_text(ends.unionByName(body).repartition("part").sortWithinPartitions("part", "k").select("part", "value"), label, "part")
 
 
 @query("""SELECT CAST(c_custkey AS VARCHAR) AS person_id, CASE WHEN c_custkey % 3 = 1 THEN c_name END AS person_official_first_name, CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE 'A & ' || c_mktsegment END AS caucus_short_name,
@@ -212,7 +213,7 @@ def xml_scan(spark, sf):
     party = F.when(k % 5 == 0, F.lit("")).otherwise(F.concat(F.lit("<CaucusShortName>A &amp; "), "c_mktsegment", F.lit("</CaucusShortName>")))
     row = F.concat(F.lit("<MemberOfParliament><PersonId>"), k.cast("string"), F.lit("</PersonId>"), first, party, F.lit("<Other>1</Other><FromDateTime>2025-04-28T00:00:00</FromDateTime></MemberOfParliament>"))
     rows = _t(spark, sf, "customer").select("c_custkey", row.alias("value"))
-    path = _file(rows, "c_custkey", '<All xmlns:xsi="http://www.w3.org/2001/XMLSchema-instance">', "</All>", "xml")
+    path = _files(rows, "c_custkey", '<All xmlns:xsi="http://www.w3.org/2001/XMLSchema-instance">', "</All>", "xml")
     rows = Members().normalize(Members().parse(spark, path))
     return rows.select("person_id", "person_official_first_name", "caucus_short_name", "from_date_time", "to_date_time")
 
@@ -230,7 +231,7 @@ def csv_scan(spark, sf):
     # cells of missing values are matched before they are trimmed, so those aren't padded
     bare = F.regexp_replace(row, "^ (NA|null|) ,", "$1,")
     rows = _t(spark, sf, "orders").select("o_orderkey", bare.alias("value"))
-    path = _file(rows, "o_orderkey", "Recipient ID,Recipient,Extra,Monetary amount", None, "csv")
+    path = _files(rows, "o_orderkey", "Recipient ID,Recipient,Extra,Monetary amount", None, "csv")
     adapter = Contributions()
     return adapter.normalize(adapter.parse(spark, path)).where(adapter.keep()).select("recipient_id", "recipient_name", "monetary_amount", "form_id")
 

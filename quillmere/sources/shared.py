@@ -47,10 +47,10 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
-def stored_text(lines: DataFrame, label: str) -> str:
-    """The address of a folder of text files with the column value of lines; it goes when the application ends."""
+def stored_text(lines: DataFrame, label: str, *by: str) -> str:
+    """The address of a folder of text files with the column value of lines, in folders by the columns `by`; it goes when the application ends."""
     path = f"{shared_root(lines.sparkSession)}/quillmere/{label}-{uuid.uuid4().hex}"
-    lines.write.text(path)
+    lines.write.partitionBy(*by).text(path)
     fs, p = hadoop_path(lines.sparkSession, path)
     fs.deleteOnExit(p)
     return path

@@ -8,13 +8,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quillmere.functions.columns import trimmed
 from quillmere.functions.rowschema import RowSchema
-from quillmere.operators.gate import with_errors
+from quillmere.operators.gate import accepts, with_errors
 
 
 def gated_stream(spark: SparkSession, folder: str, schema: RowSchema) -> DataFrame:
     """file, record, errors, accepted of the lines of new files. A line that isn't JSON is rejected, as a stream mustn't stop."""
     lines = spark.readStream.format("text").load(folder).select(F.col("_metadata.file_path").alias("file"), trimmed(F.col("value")).alias("record")).where("record <> ''")
-    return with_errors(lines, schema, strict_json=False).withColumn("accepted", F.size("errors") == 0)
+    return with_errors(lines, schema, strict_json=False).withColumn("accepted", accepts(F.col("errors")))
 
 
 def watch(spark: SparkSession, folder: str, schema: RowSchema, bronze: str, quarantine: str, checkpoint: str, once: bool = False) -> StreamingQuery:

@@ -368,6 +368,31 @@ def test_namesakes_stay_apart(spark):
     assert resolved(party("a:3", "x"), party("b:2", "y")) == alone  # a name alone
 
 
+def test_severities_and_keys_of_errors(spark):
+    from quillmere.operators import gate
+
+    kind = "line long, errors array<struct<message:string,severity:string,slot:string>>"
+    errors = [(1, [("m", "WARN", "a")]), (2, [("m", "INFO", None), ("m", "ERROR", "a")]), (3, [("m", "FATAL", "")]), (4, [("m", None, None)]), (5, []), (6, [(None, "ERROR", None), ("", "ERROR", "")])]
+    rows_ = spark.createDataFrame(errors, kind).withColumn("accepted", gate.accepts(stages.F.col("errors")))
+    assert [r.line for r in rows_.where("accepted").orderBy("line").collect()] == [1, 5]
+    n = gate.summary(rows_).first()
+    assert tuple(n) == (6, 2, 4)
+    assert {r.key: r.n for r in gate.error_counts(rows_).collect()} == {"a": 2, "m": 3, "unknown": 2}
+
+
+def test_run_all_takes_what_can_be_fetched(spark, tmp_path, monkeypatch, capsys):
+    source = xml(tmp_path, element(1), element(2))
+    asked = []
+
+    def fetched(run, config):
+        asked.append(run.source)
+        return source, {"url": config["url"]}
+
+    monkeypatch.setattr(stages, "fetch_raw", fetched)
+    assert cli.main(["ingest", "run-all", "--staging-root", str(tmp_path / "s")]) == 0
+    assert asked == [SRC] and json.loads(capsys.readouterr().out)["record_count"] == 2
+
+
 def test_registry():
     assert rows.list_sources() == ["commons_members", "open_canada_federal_election_contribution"]
     with pytest.raises(ValueError, match="source"):
