@@ -24,8 +24,8 @@ from quillmere.llm.common import arrow_map, keep, text_list
 from quillmere.llm.neighbours import apart, ends
 from quillmere.llm.unicode_tables import older, recent
 
-#: Bounds of the memos of a worker: pieces, and pairs of neighbours.
-MEMO_PIECES, MEMO_PAIRS, MEMO_LENGTH = 200_000, 1_000_000, 64
+#: Bounds of the memos of a worker: pieces, pairs of neighbours, and how entries are formed.
+MEMO_PIECES, MEMO_PAIRS, MEMO_SHAPES, MEMO_LENGTH = 200_000, 1_000_000, 16_384, 64
 #: Characters beyond which the pieces of a text are encoded in batches, and pieces in a batch.
 LONG, BATCH_PIECES = 2_000_000, 250_000
 
@@ -49,7 +49,7 @@ class ByteBPE:
         self._find.make_automaton()
         self._shorter: dict[int, tuple[int, int] | None] = {}
         self._fits: dict[tuple, bool] = {}
-        self._shapes: dict[int, tuple[list, list] | None] = {}
+        self._shapes: dict[int, tuple[tuple, tuple] | None] = {}
         self._memo: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
 
@@ -75,9 +75,11 @@ class ByteBPE:
     def _rank(self, a: bytes, b: bytes) -> int | None:
         return self.ranks.get(a + b)
 
-    def _shape(self, i: int) -> tuple[list, list] | None:
-        """How an entry is formed at its ends; there are no more than entries."""
+    def _shape(self, i: int) -> tuple[tuple, tuple] | None:
+        """How an entry is formed at its ends."""
         if i not in self._shapes:
+            if len(self._shapes) >= MEMO_SHAPES:
+                self._shapes.clear()
             b = self.bytes_of[i]
             self._shapes[i] = ends([b[k : k + 1] for k in range(len(b))], self._rank)
         return self._shapes[i]

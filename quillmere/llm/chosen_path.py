@@ -441,7 +441,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: tuple[int, int] = (
     reps = some.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "n_shingles", "sketch", "turns")
     reps = stored(reps, "reps")
     groups = candidates(reps, docs, k, share, recall)
-    parts = connected_components(links(docs, groups, k, similarity))
+    # stored first, so that no task has two Python workers at a time
+    parts = connected_components(stored(links(docs, groups, k, similarity), "links"))
     of_class = classes.join(parts.select(F.col("v").alias("rep"), "component"), "rep", "left").select("k1", "k2", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
     # copies of one text may be a third of all rows: they are spread; rows that link with nothing take no part in the join
     linked = spread_join(some.select("doc_id", "n_shingles", "k1", "k2"), stored(of_class, "components"), ["k1", "k2", "n_shingles"], ["doc_id"])

@@ -13,11 +13,11 @@ from collections.abc import Callable
 NEVER = 1 << 60
 
 
-def ends(symbols: list, rank: Callable) -> tuple[list, list] | None:
-    """(first symbols, last symbols) of an entry as it is merged from its symbols, each as (symbol, rank it is formed at, rank it ends
-    at); None if merging doesn't make one entry of them. rank(a, b) is a rule's rank, or None."""
+def ends(symbols: list, rank: Callable) -> tuple[tuple, tuple] | None:
+    """(first symbols, last symbols) of an entry as it is merged from its symbols, each as (symbol, rank it ends at);
+    None if merging doesn't make one entry of them. rank(a, b) is a rule's rank, or None."""
     parts = list(symbols)
-    first, last = [(parts[0], -1)], [(parts[-1], -1)]
+    first, last = [(parts[0], -1)], [(parts[-1], -1)]  # with the rank that each is formed at, when the one before it ends
     ranks = [r if (r := rank(a, b)) is not None else NEVER for a, b in zip(parts, parts[1:])]
     while ranks:
         best = min(ranks)
@@ -33,16 +33,16 @@ def ends(symbols: list, rank: Callable) -> tuple[list, list] | None:
             first.append((parts[0], best))
         if at == len(parts) - 1:
             last.append((parts[-1], best))
-    span = lambda x: [(s, f, e) for (s, f), (_, e) in zip(x, [*x[1:], (None, NEVER)])]
+    span = lambda x: tuple((s, e) for (s, _), (_, e) in zip(x, [*x[1:], (None, NEVER)]))
     return span(first), span(last)
 
 
-def apart(last: list, first: list, rank: Callable) -> bool:
+def apart(last: tuple, first: tuple, rank: Callable) -> bool:
     """Whether an entry with these last symbols and one with these first symbols stay as they are side by side."""
     i = j = 0
     while True:
-        x, _, x_ends = last[i]
-        y, _, y_ends = first[j]
+        x, x_ends = last[i]
+        y, y_ends = first[j]
         r = rank(x, y)
         if r is not None and r < x_ends and r <= y_ends:
             return False

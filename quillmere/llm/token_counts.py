@@ -24,7 +24,7 @@ from quillmere.llm.neighbours import apart, ends
 from quillmere.llm.unicode_tables import NEW_CAPITALS, older, recent
 
 #: Bounds of a worker's memos.
-MEMO_WORDS, MEMO_PREFIXES, MEMO_PAIRS, MEMO_LENGTH = 250_000, 600_000, 1_000_000, 48
+MEMO_WORDS, MEMO_PREFIXES, MEMO_PAIRS, MEMO_SHAPES, MEMO_LENGTH = 250_000, 600_000, 1_000_000, 16_384, 48
 END = "</w>"
 
 
@@ -55,7 +55,7 @@ class PrefixCounter:
         self._old_counts: dict[str, bytes] = {}
         self._prefix: dict[str, tuple[str, int]] = {}
         self._ends: dict[str, int] = {}
-        self._shapes: dict[str, tuple[list, list] | None] = {}
+        self._shapes: dict[str, tuple[tuple, tuple] | None] = {}
         self._fits: dict[tuple, bool] = {}
 
     def merged(self, symbols: list[str]) -> list[str]:
@@ -88,9 +88,11 @@ class PrefixCounter:
     def _rank(self, a: str, b: str) -> int | None:
         return self.rank.get((a, b))
 
-    def _shape(self, token: str) -> tuple[list, list] | None:
+    def _shape(self, token: str) -> tuple[tuple, tuple] | None:
         """How a token, one of the vocabulary, is formed at its ends."""
         if token not in self._shapes:
+            if len(self._shapes) >= MEMO_SHAPES:
+                self._shapes.clear()
             self._shapes[token] = ends(self.symbols(token), self._rank)
         return self._shapes[token]
 
